@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .kernels import string_buffers
+
 #: Documents whose ids fall into one block of this many ids are handled
 #: together by the operators that send packed hash arrays between executors.
 BATCH_IDS = 256
@@ -59,6 +62,20 @@ def batched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *mo
     )
 
 
+def pieces(batches, col: str = "text", limit: int = 4_000_000):
+    """Record batches cut to runs of rows of about `limit` text bytes (one row
+    at least), which bounds the kernels' working memory."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        _, offsets = string_buffers(b.column(col))
+        at = 0
+        while at < b.num_rows:
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
+            yield b.slice(at, end - at)
+            at = end
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of an edge list (a, b) of longs: smallest reachable id.
 

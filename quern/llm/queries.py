@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import decontaminate, mixing, quality
 
 
 def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality_rules(spark, sf_dir):
+    return quality.quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+def op8_decontaminate(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_mix_sources(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op9_mix_sources,)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op8_decontaminate, op9_mix_sources)}
 ORACLES = {"op9_mix_sources": mixing.ORACLE}
