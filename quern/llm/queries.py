@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, quality
+from . import decontaminate, mixing, personal, quality, secrets
 
 
 def table(spark, sf_dir: str, name: str):
@@ -13,6 +13,10 @@ def op3_quality_rules(spark, sf_dir):
     return quality.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark, sf_dir):
+    return secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -21,5 +25,9 @@ def op9_mix_sources(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op8_decontaminate, op9_mix_sources)}
+def op10_personal_data(spark, sf_dir):
+    return personal.personal_spans(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_secret_scan, op8_decontaminate, op9_mix_sources, op10_personal_data)}
 ORACLES = {"op9_mix_sources": mixing.ORACLE}
