@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, personal, quality, secrets
+from . import decontaminate, mixing, personal, quality, secrets, warc
 
 
 def table(spark, sf_dir: str, name: str):
@@ -13,6 +13,10 @@ def op3_quality_rules(spark, sf_dir):
     return quality.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op4_warc_round_trip(spark, sf_dir):
+    return warc.warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_secret_scan(spark, sf_dir):
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -29,5 +33,5 @@ def op10_personal_data(spark, sf_dir):
     return personal.personal_spans(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_secret_scan, op8_decontaminate, op9_mix_sources, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_warc_round_trip, op6_secret_scan, op8_decontaminate, op9_mix_sources, op10_personal_data)}
 ORACLES = {"op9_mix_sources": mixing.ORACLE}
