@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, personal, quality, secrets, warc
+from . import decontaminate, mixing, personal, quality, secrets, setjoin, warc
 
 
 def table(spark, sf_dir: str, name: str):
@@ -17,6 +17,10 @@ def op4_warc_round_trip(spark, sf_dir):
     return warc.warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op5_ngram_jaccard_join(spark, sf_dir):
+    return setjoin.document_components(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark, sf_dir):
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -33,5 +37,5 @@ def op10_personal_data(spark, sf_dir):
     return personal.personal_spans(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_warc_round_trip, op6_secret_scan, op8_decontaminate, op9_mix_sources, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_warc_round_trip, op5_ngram_jaccard_join, op6_secret_scan, op8_decontaminate, op9_mix_sources, op10_personal_data)}
 ORACLES = {"op9_mix_sources": mixing.ORACLE}
