@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, personal, quality, secrets, setjoin, warc
+from . import decontaminate, mixing, personal, quality, secrets, setjoin, suffixes, warc
 
 
 def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_suffix_array_dedup(spark, sf_dir):
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark, sf_dir):
     return quality.quality_verdicts(table(spark, sf_dir, "documents"))
 
@@ -37,5 +41,5 @@ def op10_personal_data(spark, sf_dir):
     return personal.personal_spans(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_warc_round_trip, op5_ngram_jaccard_join, op6_secret_scan, op8_decontaminate, op9_mix_sources, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op2_suffix_array_dedup, op3_quality_rules, op4_warc_round_trip, op5_ngram_jaccard_join, op6_secret_scan, op8_decontaminate, op9_mix_sources, op10_personal_data)}
 ORACLES = {"op9_mix_sources": mixing.ORACLE}
