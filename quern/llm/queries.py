@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, personal, quality, secrets, setjoin, suffixes, warc
+from . import decontaminate, mixing, personal, quality, scoring, secrets, setjoin, suffixes, warc
 
 
 def table(spark, sf_dir: str, name: str):
@@ -29,6 +29,10 @@ def op6_secret_scan(spark, sf_dir):
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op7_language_model_scores(spark, sf_dir):
+    return scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -41,5 +45,5 @@ def op10_personal_data(spark, sf_dir):
     return personal.personal_spans(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_array_dedup, op3_quality_rules, op4_warc_round_trip, op5_ngram_jaccard_join, op6_secret_scan, op8_decontaminate, op9_mix_sources, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op2_suffix_array_dedup, op3_quality_rules, op4_warc_round_trip, op5_ngram_jaccard_join, op6_secret_scan, op7_language_model_scores, op8_decontaminate, op9_mix_sources, op10_personal_data)}
 ORACLES = {"op9_mix_sources": mixing.ORACLE}
