@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, personal, quality, scoring, secrets, setjoin, suffixes, warc
+from . import decontaminate, mixing, paragraphs, personal, quality, scoring, secrets, setjoin, suffixes, warc
 
 
 def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_paragraph_dedup(spark, sf_dir):
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
 def op2_suffix_array_dedup(spark, sf_dir):
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -45,5 +49,5 @@ def op10_personal_data(spark, sf_dir):
     return personal.personal_spans(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_array_dedup, op3_quality_rules, op4_warc_round_trip, op5_ngram_jaccard_join, op6_secret_scan, op7_language_model_scores, op8_decontaminate, op9_mix_sources, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op1_paragraph_dedup, op2_suffix_array_dedup, op3_quality_rules, op4_warc_round_trip, op5_ngram_jaccard_join, op6_secret_scan, op7_language_model_scores, op8_decontaminate, op9_mix_sources, op10_personal_data)}
 ORACLES = {"op9_mix_sources": mixing.ORACLE}
