@@ -113,13 +113,13 @@ def fences(features: DataFrame) -> DataFrame:
     def level(df, tag):
         return df.select(*[c for c in ("lang", "source") if c in df.columns], F.col("n").alias(f"n_{tag}"), *(fence(x).alias(f"{x}_{tag}") for x in FLOORS))
 
-    own, lang, corpus = level(sketches, "g"), level(merged("lang"), "l"), level(merged(), "c")
+    own, lang, corpus = level(sketches, "g"), level(merged("lang"), "l"), level(merged(F.lit(1)), "c")
     lang = lang.withColumnRenamed("lang", "lang_l")
-    overall = corpus.first()  # one row of one number a feature; none of an empty table
+    overall = corpus.first() or {}  # one row of one number a feature; none of an empty table
     j = own.join(lang, own["lang"].eqNullSafe(lang["lang_l"]), "left")
 
     def pick(x):
-        rest = F.lit(float(FLOORS[x] if overall[f"{x}_c"] is None else overall[f"{x}_c"]))
+        rest = F.lit(float(overall[f"{x}_c"] if overall else FLOORS[x]))
         return F.when(F.col("n_g") >= MIN_GROUP, F.col(f"{x}_g")).when(F.col("n_l") >= MIN_GROUP, F.col(f"{x}_l")).otherwise(rest)
 
     return j.select(F.col("lang").alias("fence_lang"), F.col("source").alias("fence_source"), *(pick(x).alias(f"fence_{x}") for x in FLOORS))
