@@ -6,7 +6,8 @@ every other run of 16 or more token characters: it infers the run's encoding
 uniform random source with a chi-squared test of the alphabet, a runs test and
 a serial-correlation test, combined by Fisher's method. What ordinary text
 gives by chance is read from the corpus itself: letter-only runs (long words)
-form the null sample, in length bands. A candidate (letters and digits mixed,
+form the null sample, in length bands (a band of under MIN_NULL words takes in
+the next shorter ones, whose words look more random). A candidate (letters and digits mixed,
 so that it can carry a key) gets a conformal p-value from its band and the
 Benjamini-Hochberg rule at level FDR decides band by band. Both samples are
 mergeable histograms of LEVELS x bands cells, whatever the corpus size.
@@ -33,7 +34,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS, HEX = re.compile(rb"AKIA[A-Z0-9]+"), re.compile(rb"[0-9a-f]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 KINDS = ("assign", "access", "hex", "random")
-MIN_RUN, LEVELS, FDR = 16, 64, 0.05
+MIN_RUN, LEVELS, FDR, MIN_NULL = 16, 64, 0.05, 1000
 BANDS = (16, 20, 24, 32, 48, 64)  # lower ends of the length bands
 
 IN_RUN = np.zeros(256, bool)
@@ -161,9 +162,14 @@ def _scan(batches):
 
 def admitted_levels(null: dict[int, int], cand: dict[int, int], fdr: float = FDR) -> dict[int, int]:
     """band -> least admitted level, by Benjamini-Hochberg on conformal p-values."""
-    out = {}
+    out, own = {}, null
     for band in range(len(BANDS)):
-        n_null = sum(null.get(band * LEVELS + x, 0) for x in range(LEVELS))
+        pooled, n_null = [0] * LEVELS, 0
+        for b in range(band, -1, -1):
+            if n_null < MIN_NULL:
+                pooled = [p + own.get(b * LEVELS + x, 0) for x, p in enumerate(pooled)]
+                n_null = sum(pooled)
+        null = {band * LEVELS + x: p for x, p in enumerate(pooled)}
         n_cand = sum(cand.get(band * LEVELS + x, 0) for x in range(LEVELS))
         above_null = above = 0
         for level in range(LEVELS - 1, -1, -1):
