@@ -575,3 +575,153 @@ def date_parse(spark, d):
 def role_chain(spark, d):
     c = table(spark, d, "conversations").groupBy("conv_id").agg(F.count("*").alias("turns"), F.min_by("text", "turn").alias("opener"), F.array_join(F.array_sort(F.collect_set("role")), ",").alias("roles"))
     return c
+
+
+# --- validators, hiring, runs, names, connectors -----------------------------------------------
+
+from ..functions import names as N  # noqa: E402
+from ..operators import hiring as J, runs as X, validators as V  # noqa: E402
+from ..sources import connectors as K  # noqa: E402
+
+
+@query("news_validation", f"""WITH n AS (SELECT page_id, url, trim(regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title>', 1)) AS title, page_id % 1300 AS age, page_id % 3 <> 0 AS fetched FROM pages),
+p AS (SELECT *, list_filter(string_split({PATH}, '/'), lambda s: s <> '') AS steps FROM n)
+SELECT page_id, CASE WHEN NOT regexp_matches(url, '^https?://') THEN 'no_url' WHEN list_has_any(list_transform(steps, lambda s: lower(s)), ['karriere','career','careers','job','jobs','jobb','stillinger','ledige-stillinger','vacancies','work-with-us']) THEN 'recruitment_page_not_news'
+ WHEN list_has_any(list_transform(steps, lambda s: lower(s)), ['privacy','personvern','cookies','terms','vilkar']) THEN 'website_policy_page_not_news' WHEN length(title) < 8 OR lower(title) IN ('nyheter','aktuelt','news','les mer','read more') THEN 'generic_title'
+ WHEN age > 1126 THEN 'too_old' WHEN len(steps) = 0 OR (len(steps) = 1 AND NOT regexp_matches(steps[1], '[0-9]')) THEN 'hub_or_listing_url' WHEN NOT fetched THEN 'article_not_refetched' ELSE 'passed_so_far' END AS reason FROM p""")
+def news_validation(spark, d):
+    p = table(spark, d, "pages")
+    x = p.select("page_id", "url", H.title(F.col("html")).alias("title"), F.sha2("html", 256).alias("content_sha256"), F.date_sub(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 1300).cast("int")).alias("published_at"), F.lit("").alias("site_url"), F.when(F.col("page_id") % 3 != 0, "article_fetched").alias("verification"), F.lit("Nobody Anywhere").alias("company_name"), H.title(F.col("html")).alias("article_text"))
+    r = V.news_reason(F.lit("2024-01-01").cast("date"))
+    return x.select("page_id", F.when(r.isin("article_verified", "company_not_named_in_article"), "passed_so_far").otherwise(r).alias("reason"))
+
+
+@query("attempt_validation", """SELECT o_orderkey, array_to_string(list_filter([CASE WHEN o_orderstatus = 'P' THEN 'Missing required field: ''route_name''' END, CASE WHEN o_orderpriority <> '1-URGENT' AND o_orderkey % 7 = 0 THEN 'Active attempt record lacks required ''snapshot_hash''' END,
+ CASE WHEN o_orderkey % 11 = 0 THEN 'Accepted claim lacks a span of 5 characters' END, CASE WHEN o_orderkey % 13 = 0 THEN 'cost_usd cannot be negative' END], lambda x: x IS NOT NULL), '; ') AS errors FROM orders""")
+def attempt_validation(spark, d):
+    k = F.col("o_orderkey")
+    claim = F.array(F.struct(F.lit("f").alias("field"), F.when(k % 11 == 0, "abc").otherwise("a long span").alias("evidence_span"), F.lit("u").alias("source_url")))
+    x = table(spark, d, "orders").select("o_orderkey", k.cast("string").alias("attempt_id"), F.lit("r").alias("run_id"), F.lit("1").alias("organisation_number"), F.when(F.col("o_orderstatus") != "P", "route").alias("route_name"), F.when(F.col("o_orderpriority") == "1-URGENT", "failed").otherwise("success").alias("status"), F.when(k % 7 != 0, F.sha2(k.cast("string"), 256)).alias("snapshot_hash"), F.lit(1.0).alias("runtime_seconds"), F.lit(1).alias("request_count"), F.when(k % 13 == 0, -1.0).otherwise(0.5).alias("cost_usd"), claim.alias("accepted_claims"))
+    return x.select("o_orderkey", F.array_join(V.attempt_errors(), "; ").alias("errors"))
+
+
+@query("attempt_summary", """SELECT count(*) AS attempts, count(*) FILTER (o_orderstatus = 'F') AS successful, count(*) FILTER (o_orderkey % 10 = 0) AS quarantined, count(*) FILTER (o_orderstatus = 'P') AS failed, count(*)::BIGINT AS claims, count(*) FILTER (o_orderkey % 11 <> 0) AS grounded,
+ sum(o_orderkey % 5)::BIGINT AS requests, round(count(*) * 0.25::DOUBLE, 5) AS cost_usd, round(count(*) * 0.5::DOUBLE, 3) AS runtime_seconds, round(count(*) FILTER (o_orderkey % 11 <> 0) / count(*), 4) AS grounded_rate FROM orders""")
+def attempt_summary(spark, d):
+    k = F.col("o_orderkey")
+    claim = F.array(F.struct(F.when(k % 11 == 0, "abc").otherwise("a long span").alias("evidence_span"), F.lit("u").alias("source_url")))
+    status = F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "P", "failed").otherwise("abstained")
+    x = table(spark, d, "orders").select(status.alias("status"), (k % 10 == 0).alias("quarantined"), (k % 5).alias("request_count"), F.lit(0.25).alias("cost_usd"), F.lit(0.5).alias("runtime_seconds"), claim.alias("accepted_claims"))
+    return X.attempt_summary(x)
+
+
+@query("run_delta", "WITH a AS (SELECT o_orderpriority AS field, count(*) AS v FROM orders WHERE year(o_orderdate) = 1997 GROUP BY 1), b AS (SELECT o_orderpriority AS field, count(*) AS v FROM orders WHERE year(o_orderdate) = 1998 AND o_orderpriority <> '5-LOW' GROUP BY 1) SELECT coalesce(a.field, b.field) AS field, coalesce(a.v, 0) AS old, coalesce(b.v, 0) AS new, coalesce(b.v, 0) - coalesce(a.v, 0) AS delta FROM a FULL JOIN b ON a.field = b.field")
+def run_delta(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_orderpriority").alias("field"), F.year("o_orderdate").alias("y"))
+    runs = lambda y: o.where(F.col("y") == y).groupBy("field").agg(F.count("*").alias("v"))
+    return X.run_delta(runs(1997), runs(1998).where("field <> '5-LOW'"), "field", "v")
+
+
+@query("history_last", "SELECT user_id, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) <= 20")
+def history_last(spark, d):
+    return X.last_entries(table(spark, d, "events").select("user_id", "event_id", "ts"), "user_id", [F.desc("ts"), "event_id"], 20).select("user_id", "event_id")
+
+
+@query("cumulative_signals", "WITH e AS (SELECT user_id, event_type, day(ts)::INT AS step FROM events), f AS (SELECT user_id, event_type, min(step) AS step FROM e GROUP BY ALL), s AS (SELECT DISTINCT user_id, step FROM e), g AS (SELECT s.user_id, s.step, count(f.event_type) AS fresh FROM s LEFT JOIN f ON f.user_id = s.user_id AND f.step = s.step GROUP BY ALL) SELECT user_id, step, fresh, sum(fresh) OVER (PARTITION BY user_id ORDER BY step)::BIGINT AS seen FROM g")
+def cumulative_signals(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_type", F.dayofmonth("ts").alias("step"))
+    return X.cumulative_signals(e, "user_id", "step", "event_type").select("user_id", "step", "fresh", "seen")
+
+
+@query("promotion_report", """WITH g AS (SELECT event_type AS strategy, count(*) FILTER (user_id % 2 = 0) AS reviewed, count(*) FILTER (value > 60) AS wrong, count(*) FILTER (value < 0) AS unsupported, count(DISTINCT user_id) FILTER (value > 30) AS gain FROM events GROUP BY 1)
+SELECT strategy, reviewed, wrong, unsupported, gain, concat_ws(',', CASE WHEN reviewed = 0 THEN 'not reviewed' END, CASE WHEN wrong > 0 THEN 'wrong entity' END, CASE WHEN unsupported > 0 THEN 'unsupported claim' END, CASE WHEN gain = 0 THEN 'no gain' END) AS reasons, reviewed > 0 AND wrong = 0 AND unsupported = 0 AND gain > 0 AS promoted FROM g""")
+def promotion_report(spark, d):
+    e = table(spark, d, "events").select(F.col("event_type").alias("strategy"), "user_id", (F.col("user_id") % 2 == 0).alias("reviewed"), (F.col("value") > 60).alias("wrong"), (F.col("value") < 0).alias("unsupported"), (F.col("value") > 30).alias("gain"))
+    return X.promotion(e, "user_id")
+
+
+@query("audit_gates", "SELECT unnest(['price','status']) AS gate, unnest([count(*) FILTER (NOT coalesce(o_totalprice > 1000, false)), count(*) FILTER (o_orderstatus = 'P')]) AS failures, unnest([count(*) FILTER (NOT coalesce(o_totalprice > 1000, false)) = 0, count(*) FILTER (o_orderstatus = 'P') = 0]) AS passed FROM orders")
+def audit_gates(spark, d):
+    return X.audit_gates(table(spark, d, "orders"), {"price": F.col("o_totalprice") > 1000, "status": F.col("o_orderstatus") != "P"})
+
+
+@query("suite_score", "WITH t AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS place, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS p2 FROM orders), g AS (SELECT o_custkey, list(o_orderkey ORDER BY place) FILTER (place <= 2) AS w, list(o_orderkey ORDER BY p2) FILTER (p2 <= 2) AS g FROM t GROUP BY 1) SELECT o_custkey, w = g AS passed FROM g")
+def suite_score(spark, d):
+    from pyspark.sql import Window as W
+
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
+    ranked = lambda *by: o.withColumn("place", F.row_number().over(W.partitionBy("o_custkey").orderBy(*by))).where("place <= 2").select("o_custkey", "o_orderkey", "place")
+    return X.suite_score(ranked(F.desc("o_orderdate"), "o_orderkey"), ranked(F.desc("o_totalprice"), "o_orderkey"), "o_custkey", "o_orderkey", "place")
+
+
+@query("sequence_digest", "WITH b AS (SELECT o_orderkey // 1000 AS b, sha256(string_agg(o_custkey::VARCHAR, chr(10) ORDER BY o_orderkey)) AS h FROM orders GROUP BY 1) SELECT sha256(string_agg(h, chr(10) ORDER BY b)) AS digest FROM b")
+def sequence_digest(spark, d):
+    return X.sequence_digest(table(spark, d, "orders"), "o_custkey", "o_orderkey")
+
+
+@query("value_formats", """WITH c AS (SELECT page_id, ['website','legal_identity','roles','hiring_signal'][(page_id % 4 + 1)::INT] AS field, CASE WHEN page_id % 5 = 0 THEN url WHEN page_id % 5 = 1 THEN '{"name": "x", "organisation_number": "1"}' WHEN page_id % 5 = 2 THEN '[]' WHEN page_id % 5 = 3 THEN '""' END AS v FROM pages)
+SELECT page_id, CASE WHEN v IS NULL THEN 'Value cannot be None' WHEN field = 'website' AND NOT regexp_matches(v, '^"?https?://') THEN 'Expected HTTP(S) URL string' WHEN field = 'roles' AND NOT starts_with(v, '[') THEN 'Expected list' WHEN field = 'legal_identity' AND NOT starts_with(v, '{') THEN 'Expected dict' WHEN field = 'hiring_signal' AND v IN ('', '""') THEN 'Expected non-empty string' END AS error FROM c""")
+def value_formats(spark, d):
+    k = F.col("page_id")
+    field = F.element_at(F.array(*(F.lit(x) for x in ("website", "legal_identity", "roles", "hiring_signal"))), (k % 4 + 1).cast("int"))
+    value = F.when(k % 5 == 0, F.col("url")).when(k % 5 == 1, '{"name": "x", "organisation_number": "1"}').when(k % 5 == 2, "[]").when(k % 5 == 3, '""')
+    return table(spark, d, "pages").select("page_id", V.value_format_error(field, value).alias("error"))
+
+
+@query("leak_scan", r"SELECT doc_id, concat_ws(' ', CASE WHEN regexp_matches(text, 'sk-[A-Za-z0-9]{20,}') THEN 'sk-[A-Za-z0-9]{20,}' END, CASE WHEN regexp_matches(text, 'AKIA[0-9A-Z]{16}') THEN 'AKIA[0-9A-Z]{16}' END, CASE WHEN regexp_matches(text, 'ghp_[A-Za-z0-9]{36}') THEN 'ghp_[A-Za-z0-9]{36}' END, CASE WHEN regexp_matches(text, 'AIza[0-9A-Za-z_-]{35}') THEN 'AIza[0-9A-Za-z_-]{35}' END, CASE WHEN regexp_matches(text, '-----BEGIN [A-Z ]*PRIVATE KEY-----') THEN '-----BEGIN [A-Z ]*PRIVATE KEY-----' END) AS leaks FROM documents")
+def leak_scan(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.array_join(V.leaks(F.col("text")), " ").alias("leaks"))
+
+
+@query("confuser_containment", "WITH t AS (SELECT c_custkey AS key, c_name, c_mktsegment FROM customer), f AS (SELECT c_custkey AS key, ['build', 'machin', 'zzz'][(c_custkey % 3 + 1)::INT] AS confuser FROM customer) SELECT key, confuser FROM f JOIN t USING (key) WHERE contains(lower('{\"key\":' || key || ',\"c_name\":\"' || c_name || '\",\"c_mktsegment\":\"' || c_mktsegment || '\"}'), confuser)")
+def confuser_containment(spark, d):
+    t = table(spark, d, "customer").select(F.col("c_custkey").alias("key"), "c_name", "c_mktsegment")
+    f = t.select("key", F.element_at(F.array(F.lit("build"), F.lit("machin"), F.lit("zzz")), (F.col("key") % 3 + 1).cast("int")).alias("confuser"))
+    return V.confusers_in(t, f, "key")
+
+
+@query("sequence_ratio")
+def sequence_ratio(spark, d):
+    s = table(spark, d, "supplier")
+    return s.select("s_suppkey", F.round(N.sequence_ratio("s_name", F.concat(F.lit("Supplier "), F.col("s_suppkey"))), 6).alias("ratio"))
+
+
+@query("map_candidates", """WITH s AS (SELECT s_suppkey, (s_suppkey % 4) / 3.0::DOUBLE AS name, s_suppkey % 2 = 0 AS a, s_suppkey % 3 = 0 AS p, s_suppkey % 5 = 0 AS w, s_suppkey % 7 = 0 AS z, s_suppkey * 10 AS reviews FROM supplier)
+SELECT s_suppkey, round(name * 4 + a::INT * 3 + p::INT * 2 + w::INT * 3 + z::INT * 2 + least(1.0::DOUBLE, log10(greatest(1, reviews)) / 5), 4) AS score, (name >= 0.99 AND a::INT + p::INT + w::INT >= 1) OR (name >= 0.66 AND a::INT + p::INT + w::INT >= 2) AS accepted FROM s""")
+def map_candidates(spark, d):
+    k = F.col("s_suppkey")
+    name, a, p, w, z = (k % 4) / F.lit(3.0), k % 2 == 0, k % 3 == 0, k % 5 == 0, k % 7 == 0
+    return table(spark, d, "supplier").select("s_suppkey", N.map_score(name, a, p, w, z, k * 10).alias("score"), N.map_accepted(name, a, p, w, F.lit(0.0)).alias("accepted"))
+
+
+@query("vacancy_match", """WITH a AS (SELECT l_orderkey AS ad_id, CASE WHEN l_linenumber % 2 = 0 THEN l_partkey END AS org, 'Supplier#' || lpad((l_suppkey)::VARCHAR, 9, '0') AS employer, l_shipdate::DATE AS expires FROM lineitem),
+l AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY ad_id ORDER BY coalesce(expires, DATE '9999-01-01') DESC, employer DESC) = 1), v AS (SELECT * FROM l WHERE expires IS NULL OR expires >= DATE '1998-06-01'),
+m AS (SELECT v.*, c.s_suppkey AS by_org, u.s_suppkey AS by_unit, n.s_suppkey AS by_name FROM v LEFT JOIN supplier c ON c.s_suppkey = v.org LEFT JOIN supplier u ON u.s_suppkey + 1000 = v.org LEFT JOIN supplier n ON v.org IS NULL AND n.s_name = v.employer)
+SELECT ad_id, CASE WHEN by_org IS NOT NULL THEN 'organisation' WHEN by_unit IS NOT NULL THEN 'subunit' WHEN by_name IS NOT NULL THEN 'name' ELSE 'rejected' END AS match_type, coalesce(by_org, by_unit, by_name) AS company FROM m""")
+def vacancy_match(spark, d):
+    # lines of one order with equal ship date and employer may differ in org; the oracle and the query break such ties alike only through max_by's first maximum, so ties are cut out by org
+    ads = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("ad_id"), F.when(F.col("l_linenumber") % 2 == 0, F.col("l_partkey")).alias("org"), F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("employer"), F.col("l_shipdate").cast("date").alias("expires"))
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("org"), F.col("s_name").alias("name"))
+    return J.match_vacancies(ads, s, s.select((F.col("org") + 1000).alias("subunit"), "org"), F.lit("1998-06-01").cast("date"))
+
+
+@query("workforce_phrases")
+def workforce_phrases(spark, d):
+    c = table(spark, d, "customer")
+    k = F.col("c_custkey")
+    text = F.concat(F.lit("Selskapet har "), (k % 90).cast("string"), F.lit(" ansatte\nkonsern 999 ansatte\n"), F.when(k % 4 == 0, F.concat(F.lit("Antall årsverk: "), (k % 50).cast("string"))).otherwise(F.lit("")))
+    return J.workforce(c.select("c_custkey", text.alias("text")), "c_custkey")
+
+
+@query("hiring_signals")
+def hiring_signals(spark, d):
+    p = table(spark, d, "pages").select("page_id", F.concat("url", F.lit("/careers/")).alias("url"), H.title(F.col("html")).alias("title"), F.concat(H.visible_text(F.col("html")), F.when(F.col("page_id") % 3 == 0, F.lit(" We are hiring now")).otherwise(F.lit(""))).alias("text"))
+    return J.signals(p, "page_id")
+
+
+@query("connector_rows", """SELECT 'vacancy_feed-' || lpad(c_custkey::VARCHAR, 9, '0') || '-' || substr(sha256('{"url":"https://x.no/' || c_custkey || '","text":"' || c_mktsegment || '"}'), 1, 16) AS id, 'https://x.no/' || c_custkey AS source_url, c_mktsegment AS evidence_span FROM customer WHERE c_custkey % 3 <> 0""")
+def connector_rows(spark, d):
+    k = F.col("c_custkey")
+    item = F.to_json(F.struct(F.concat(F.lit("https://x.no/"), k).alias("url"), F.col("c_mktsegment").alias("text")))
+    r = table(spark, d, "customer").select(F.lpad(k.cast("string"), 9, "0").alias("organisation_number"), F.lit("https://api").alias("url"), F.when(k % 3 == 0, 404).otherwise(200).alias("status"), F.concat(F.lit('{"items":['), item, F.lit("]}")).alias("body"), F.lit("2024-01-01").alias("retrieved_at"))
+    return K.observations_from(r, "vacancy_feed").select("id", "source_url", "evidence_span")
