@@ -47,12 +47,13 @@ def employee_band(n: Column) -> Column:
     return F.when(n.isNull(), "missing").when(n == 0, "0").when(n < 5, "1-4").when(n < 20, "5-19").when(n < 100, "20-99").otherwise("100+")
 
 
-#: Fixed legal forms by their duty to file accounts.
-ALWAYS_FILE, SOMETIMES_FILE = ("AS", "ASA"), ("ENK", "ANS", "DA", "NUF", "SA")
+#: Fixed legal forms by their duty to keep accounts.
+ALWAYS_OBLIGED = ("AS", "ASA", "BRL", "BBL", "STI", "SF", "VPFO")
+CONDITIONALLY_OBLIGED = ("ENK", "ANS", "DA", "SA", "FLI", "ESEK", "NUF", "UTLA", "ORGL", "SAM", "SPA", "KS", "BO")
 
 
-def obligation(form: Column, employees: Column, has_accounts: Column) -> Column:
-    return (
-        F.when(has_accounts, "filed").when(form.isin(*ALWAYS_FILE), "required")
-        .when(form.isin(*SOMETIMES_FILE) & (F.coalesce(employees, F.lit(0)) >= 20), "conditionally_required").when(form.isin(*SOMETIMES_FILE), "not_required").otherwise("unknown")
-    )
+def obligation(form: Column, latest_accounts: Column) -> Column:
+    """Filing seen, required by form, dependent on thresholds, or for review."""
+    f = F.upper(F.coalesce(form, F.lit("")))
+    seen = F.coalesce(latest_accounts.cast("string"), F.lit("")) != ""
+    return F.when(seen, "filing_observed").when(f.isin(*ALWAYS_OBLIGED), "required_by_legal_form").when(f.isin(*CONDITIONALLY_OBLIGED), "threshold_or_activity_dependent").otherwise("special_rule_or_review_required")

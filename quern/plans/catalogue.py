@@ -133,12 +133,12 @@ def ratio_bands(spark, d):
     return x.select("o_orderkey", "equity_ratio", "liquidity", A.solvency(F.col("equity_ratio")).alias("solvency"))
 
 
-@query("obligation_class", f"""WITH {PROFILES}, h AS (SELECT p.*, EXISTS (SELECT 1 FROM orders WHERE o_custkey = p.key AND o_orderstatus = 'F') AS has FROM p)
-SELECT organisation_number, CASE WHEN has THEN 'filed' WHEN legal_form IN ('AS','ASA') THEN 'required' WHEN coalesce(employees, 0) >= 20 THEN 'conditionally_required' ELSE 'not_required' END AS obligation FROM h""")
+@query("obligation_class", f"""WITH {PROFILES}, h AS (SELECT p.*, (SELECT max(year(o_orderdate)) FROM orders WHERE o_custkey = p.key AND o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') AS latest FROM p)
+SELECT organisation_number, CASE WHEN latest IS NOT NULL THEN 'filing_observed' WHEN legal_form IN ('AS','ASA') THEN 'required_by_legal_form' ELSE 'threshold_or_activity_dependent' END AS obligation FROM h""")
 def obligation_class(spark, d):
-    filed = table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("key")).distinct().withColumn("has", F.lit(True))
+    filed = table(spark, d, "orders").where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("key")).agg(F.max(F.year("o_orderdate")).alias("latest"))
     p = profiles(spark, d).join(filed, "key", "left")
-    return p.select("organisation_number", A.obligation(F.col("legal_form"), F.col("employees"), F.coalesce("has", F.lit(False))).alias("obligation"))
+    return p.select("organisation_number", A.obligation(F.col("legal_form"), F.col("latest")).alias("obligation"))
 
 
 MANIFEST = "m AS (SELECT lpad((o_orderkey % 2000)::VARCHAR, 9, '0') AS organisation_number, min(o_orderkey) AS position FROM orders GROUP BY 1)"
@@ -725,3 +725,41 @@ def connector_rows(spark, d):
     item = F.to_json(F.struct(F.concat(F.lit("https://x.no/"), k).alias("url"), F.col("c_mktsegment").alias("text")))
     r = table(spark, d, "customer").select(F.lpad(k.cast("string"), 9, "0").alias("organisation_number"), F.lit("https://api").alias("url"), F.when(k % 3 == 0, 404).otherwise(200).alias("status"), F.concat(F.lit('{"items":['), item, F.lit("]}")).alias("body"), F.lit("2024-01-01").alias("retrieved_at"))
     return K.observations_from(r, "vacancy_feed").select("id", "source_url", "evidence_span")
+
+
+# --- evidence, security, ownership, answers ----------------------------------------------------
+
+from ..operators import evidence as E  # noqa: E402
+
+
+@query("module_states", """SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'available' WHEN '2-HIGH' THEN 'not_available' WHEN '3-MEDIUM' THEN 'blocked' WHEN '5-LOW' THEN 'failed' ELSE 'failed' END AS terminal, CASE o_orderpriority WHEN '1-URGENT' THEN 'available' WHEN '2-HIGH' THEN 'failed' WHEN '3-MEDIUM' THEN 'blocked' WHEN '5-LOW' THEN 'ambiguous' ELSE 'failed' END AS availability FROM orders""")
+def module_states(spark, d):
+    names = {"1-URGENT": "available", "2-HIGH": "not_available", "3-MEDIUM": "blocked", "5-LOW": "ambiguous"}
+    status = F.coalesce(*(F.when(F.col("o_orderpriority") == k, F.lit(v)) for k, v in names.items()))
+    return table(spark, d, "orders").select("o_orderkey", E.terminal_state(status).alias("terminal"), E.availability_state(status).alias("availability"))
+
+
+@query("social_security", "WITH t AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Bitcoin giveaway' WHEN doc_id % 3 = 1 THEN 'official customer contact example.no' ELSE repeat('lorem ', 40) END AS s FROM documents) SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'quarantined_threat' WHEN 1 THEN 'verified_safe_and_authentic' ELSE 'quarantined_uncertain' END AS tier, CASE doc_id % 3 WHEN 0 THEN 'critical' WHEN 1 THEN 'low' ELSE 'medium' END AS risk FROM t")
+def social_security(spark, d):
+    k = F.col("doc_id")
+    text = F.when(k % 3 == 0, "Bitcoin giveaway").when(k % 3 == 1, "official customer contact example.no").otherwise(F.repeat(F.lit("lorem "), 40))
+    v = E.channel_verdict(text, F.lit("Firma"), F.lit("www.example.no"))
+    return table(spark, d, "documents").select("doc_id", v.alias("v")).select("doc_id", "v.tier", "v.risk")
+
+
+@query("domain_ownership", "SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'org_number_match' WHEN s_suppkey % 3 = 1 THEN 'registrant_name_match' ELSE 'registrant_unverified' END AS state FROM supplier")
+def domain_ownership(spark, d):
+    k = F.col("s_suppkey")
+    ids = F.array(F.when(k % 3 == 0, k.cast("string")).otherwise("x"))
+    return table(spark, d, "supplier").select("s_suppkey", E.ownership(k.cast("string"), F.col("s_name"), ids, F.when(k % 3 == 1, F.upper("s_name"))).alias("state"))
+
+
+@query("profile_facts", f"""WITH {PROFILES}, {ACCOUNTS}, {LATEST}, j AS (SELECT p.*, l.revenue FROM p LEFT JOIN l USING (key)), u AS (SELECT organisation_number, unnest(['Registered name','Legal form','Municipality','Registry employee count','Revenue']) AS label, unnest([name, legal_form, municipality, employees::VARCHAR, CASE WHEN revenue IS NULL THEN NULL ELSE round(revenue)::BIGINT::VARCHAR END]) AS value FROM j) SELECT * FROM u WHERE value IS NOT NULL AND value <> ''""")
+def profile_facts(spark, d):
+    p = _screen_rows(spark, d).withColumn("revenue", F.round("revenue").cast("long"))
+    return E.facts(p, "organisation_number", {"Registered name": "name", "Legal form": "legal_form", "Municipality": "municipality", "Registry employee count": "employees", "Revenue": "revenue"})
+
+
+@query("narrative")
+def narrative(spark, d):
+    return E.narrative(_screen_rows(spark, d)).select("organisation_number", "summary")

@@ -81,3 +81,21 @@ def test_connectors(spark):
         assert sorted((x.source_url, x.evidence_span) for x in got) == [("https://a", "one"), ("https://api", "two")]
         assert all(x.strategy == name and x.publication == K.CONNECTORS[name].publication for x in got)
     assert K.rights(spark).count() == len(K.CONNECTORS)
+
+
+def test_evidence(spark):
+    from quern.operators import evidence as E
+
+    r = one(spark, E.same_address(F.lit("Storgata 1B"), F.lit("0150"), F.lit("0301"), F.lit("storgata 1 B"), F.lit("0150"), F.lit("0301")).alias("a"), E.same_address(F.lit("Storgata 1"), F.lit("150"), F.lit(""), F.lit("Storgata 1"), F.lit("150"), F.lit("")).alias("b"))
+    assert r.a and not r.b
+    order = E.adaptive_loop(["a", "b", "c"], {"a": 0.0, "b": 5.0, "c": 1.0}.get, {"c": [3.0]})
+    assert [s for s, _ in order] == ["c", "a", "b"]
+
+
+def test_answers(spark):
+    from quern.operators import screen as Q
+
+    claims = spark.createDataFrame([("1", "financials", f"f{i:02}", "available") for i in range(15)] + [("1", "roles", "chair", "available"), ("1", "registry", "x", "failed"), ("2", "roles", "y", "available")], "organisation_number string, module string, field string, availability string")
+    assert Q.answer(claims, "1", "What is the revenue?").count() == 12
+    assert Q.answer(claims, "1", "Who leads it?").count() == 1
+    assert Q.answer(claims, "1", "Tell me more").count() == 13
