@@ -53,12 +53,12 @@ def maybe_broadcast(df: DataFrame, rows: int = 50_000) -> DataFrame:
     return F.broadcast(df) if small_enough(df, rows) else df
 
 
-def batched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
-    """(batch, doc_id, text, ...) with id blocks as batches; null ids come last."""
+def batched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ids: int = BATCH_IDS) -> DataFrame:
+    """(batch, doc_id, text) with blocks of so many ids; null ids come last."""
     key = F.col(id_col).cast("long")
     return docs.select(
-        F.coalesce(F.floor(key / F.lit(BATCH_IDS)).cast("long"), F.lit(2**62)).alias("batch"),
-        key.alias("doc_id"), F.col(text_col).alias("text"), *more,
+        F.coalesce(F.floor(key / F.lit(ids)).cast("long"), F.lit(2**62)).alias("batch"),
+        key.alias("doc_id"), F.col(text_col).alias("text"),
     )
 
 

@@ -26,19 +26,23 @@ def _order(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.n
     return order, used, np.append(first, len(keys))
 
 
-def ask(batch: int, keys: np.ndarray, marks: np.ndarray, buckets: int) -> pa.Table:
-    """One row per bucket that any key goes to."""
+def ask(batch: int, keys: np.ndarray, marks: np.ndarray, buckets: int, width: int = 8) -> pa.Table:
+    """One row per bucket that any key goes to; of a key its `width` high bytes
+    are sent (the bucket adds the low bits' remainder)."""
     order, used, first = _order(keys, buckets)
-    k, m = keys[order], marks[order]
+    k, m = np.ascontiguousarray(keys[order].view(np.uint8).reshape(-1, 8)[:, 8 - width :]), marks[order]
     cut = list(zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
     return pa.table([pa.array(used, pa.int32()), pa.array([batch] * len(used), pa.int64()), pa.array([k[a:b].tobytes() for a, b in cut], pa.binary()), pa.array([m[a:b].tobytes() for a, b in cut], pa.binary())], schema=_ASK)
 
 
-def gather(t: pa.Table, key_type=np.uint64, mark_type=np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def gather(t: pa.Table, width: int = 8, mark_type=np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(keys, marks, row of each key) of all rows that met in a bucket."""
     ks, ms = t["keys"].to_pylist(), t["marks"].to_pylist()
-    sizes = [len(k) // np.dtype(key_type).itemsize for k in ks]
-    return np.frombuffer(b"".join(ks), key_type), np.frombuffer(b"".join(ms), mark_type), np.repeat(np.arange(len(ks)), sizes)
+    sizes = [len(k) // width for k in ks]
+    sent = np.frombuffer(b"".join(ks), np.uint8).reshape(-1, width)
+    keys = np.zeros((len(sent), 8), np.uint8)
+    keys[:, 8 - width :] = sent
+    return keys.view(np.uint64).ravel(), np.frombuffer(b"".join(ms), mark_type), np.repeat(np.arange(len(ks)), sizes)
 
 
 def reply(t: pa.Table, row: np.ndarray, answers: np.ndarray) -> pa.Table:

@@ -10,7 +10,8 @@ gathered in a histogram of bounded size (buckets x CELLS of the log ratio of
 both estimates), on which EM runs.
 
 Counts of all words and bigrams are gathered over all documents by the packed
-hash exchange of routing.py. The pass that has the counts stores a document's
+hash exchange of routing.py; words go by whole 64-bit hashes, bigrams by 40
+bits within their bucket (46 bits and more in all). The pass that has the counts stores a document's
 token ratios (two bytes each, 0.001 in log2) for the scoring that follows EM.
 
 Defined results: a null or wordless text is one end token; a document's first
@@ -32,7 +33,7 @@ from . import kernels as K, routing as R
 from .common import batched, bucket_count, saved
 from .setjoin import _runs
 
-FOLDS, ADD, ROUNDS = 10, 0.1, 60
+FOLDS, ADD, ROUNDS, BATCH, PAIR_BYTES = 10, 0.1, 60, 512, 5
 BUCKETS, CELLS, STEP = 34, 128, 0.5  # context buckets; histogram cells of half a log2
 FINE, LOW = 1000.0, -16.0  # stored ratios: log2 from LOW in steps of 1/FINE
 END, BEGIN = np.uint64(0x1234567), np.uint64(0x7654321)
@@ -80,17 +81,17 @@ class Batch:
 
 def _ask(batch: int, b: Batch, buckets: int) -> pa.Table:
     one = R.ask(batch, b.words, b.word_marks, buckets)
-    two = R.ask(batch, b.pairs, b.pair_marks, buckets)
+    two = R.ask(batch, b.pairs, b.pair_marks, buckets, PAIR_BYTES)
     return pa.concat_tables([one.append_column("pair", pa.array([0] * one.num_rows, pa.int32())), two.append_column("pair", pa.array([1] * two.num_rows, pa.int32()))])
 
 
 def _totals(t: pa.Table) -> pa.Table:
     """Bucket: the training count of each key; once more its own tallies."""
-    keys, counts, row = R.gather(t, mark_type=np.uint32)
+    pair = t["pair"][0].as_py()
+    keys, counts, row = R.gather(t, PAIR_BYTES if pair else 8, np.uint32)
     _, place = np.unique(keys, return_inverse=True)
     total = np.bincount(place, counts)
     out = R.reply(t, row, np.minimum(total, 2**32 - 1).astype(np.uint32)[place])
-    pair = t["pair"][0].as_py()
     out = out.append_column("pair", pa.array([pair] * out.num_rows, pa.int32()))
     own = pa.array([int((total > 0).sum()), *[0] * (out.num_rows - 1)], pa.int64())
     mass = pa.array([int(total.sum()), *[0] * (out.num_rows - 1)], pa.int64())
@@ -118,7 +119,7 @@ def score_documents(docs: DataFrame, *, id_col="doc_id", text_col="text") -> Dat
     """One row per document with base and interpolated log10 probability."""
     spark = docs.sparkSession
     buckets = bucket_count(spark)
-    t = batched(docs, id_col, text_col)
+    t = batched(docs, id_col, text_col, BATCH)
 
     def count(key, x):
         return _ask(key[0].as_py(), Batch(x), buckets)
