@@ -190,6 +190,14 @@ def test_personal(spark, rows, docs):
     assert personal.personal_spans(empty(spark)).count() == 0
 
 
+def test_personal_patterns_on_random_and_long_texts():
+    r = random.Random(9)
+    for _ in range(3000):
+        t = "".join(r.choice("a1.@-+ %9") for _ in range(r.randrange(1, 40)))
+        assert personal.base_spans(t) == brute.personal(t), t
+    assert personal.base_spans("x" * 300_000 + " a@b.c " + "1" * 300_000 + "." + "@" * 1000) == [("email", 300_001, 300_006)]
+
+
 def test_boosted_trees_hold_out():
     import numpy as np
 
