@@ -82,18 +82,21 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star rounds; each round's edges go to the
     shared folder, so that a lost executor costs one round at most. Every
     vertex sends at most its own edges and no component meets in one task: the
-    groups are read by partial aggregates only.
+    groups are read by partial aggregates only. A round that leaves the edges
+    as they were (count and xor of their hashes) ends it.
     """
+    def signature(df):
+        return df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+
     now = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    while True:
-        both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = saved(large.where("a <> b").distinct())
+    sign = signature(now)
+    while sign[0]:
+        least = now.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "b")
+        large = saved(now.join(least, "b", "left").select("a", F.coalesce("m", "b").alias("b")))
         down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(down.select("a", F.col("m").alias("b"))).distinct()
-        nxt = saved(small)
-        same = nxt.count() == now.count() and nxt.exceptAll(now).isEmpty()
-        now = nxt
-        if same:
-            return now.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("id"), "component")
+        stars = large.join(down, "a").select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
+        now, before = saved(stars.select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).where("a <> b").distinct()), sign
+        sign = signature(now)
+        if sign == before:
+            break
+    return saved(now.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("id"), "component"))
