@@ -238,8 +238,9 @@ def document_components(docs: DataFrame, *, gram: int = GRAM, percent: int = PER
     posts = saved(path.mapInArrow(post, "gram long, cid long, n long, at long"))
     fits = lambda n, m, p, q: (F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)) & (F.lit(100 + percent) * F.least(n - p, m - q) >= F.lit(percent) * (n + m))
 
-    # the least class of each gram against the others
-    hubs = posts.groupBy("gram").agg(F.min(F.struct("cid", "n", "at")).alias("h"), F.count("*").alias("k")).where("k > 1")
+    # the least class of each gram against the others; here and below aggregates are saved before they
+    # are joined back on their key, so that both sides are dealt anew and a hot key's rows can be split
+    hubs = saved(posts.groupBy("gram").agg(F.min(F.struct("cid", "n", "at")).alias("h"), F.count("*").alias("k")).where("k > 1"))
     lines = posts.join(hubs, "gram").where((F.col("cid") != F.col("h.cid")) & fits(F.col("n"), F.col("h.n"), F.col("at"), F.col("h.at")))
     links = saved(verified(lines.select(F.col("cid").alias("a"), F.col("h.cid").alias("b")).distinct(), classes, percent))
     labels = components(links).withColumnsRenamed({"id": "cid", "component": "label"})
@@ -248,7 +249,7 @@ def document_components(docs: DataFrame, *, gram: int = GRAM, percent: int = PER
     named = saved(posts.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid")))
     slack = F.col("n") - F.ceil(F.lit(percent) * (F.col("n") + F.greatest(F.col("least_n"), F.ceil(F.lit(percent) * F.col("n") / 100))) / (100 + percent))
     split = lambda df: df.groupBy("gram").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.min("n").alias("least_n"), F.count("*").alias("k")).where("l <> h").drop("l", "h")
-    live = saved(named.join(split(named), "gram").where(F.col("at") <= slack).select("gram", "cid", "n", "at", "label"))
+    live = saved(named.join(saved(split(named)), "gram").where(F.col("at") <= slack).select("gram", "cid", "n", "at", "label"))
     live = live.join(split(live), "gram").withColumn("blocks", F.ceil(F.col("k") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
     live = live.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     live = live.select("gram", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cid", "n", "at", "label", "block").join(path.select("cid", "path"), "cid")
@@ -256,6 +257,7 @@ def document_components(docs: DataFrame, *, gram: int = GRAM, percent: int = PER
     links = links.union(saved(verified(more, classes, percent)))
 
     component = components(links).withColumnsRenamed({"id": "cid"})
-    ids = members.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("cid")).join(component, "cid", "left").select("key", F.coalesce("component", "cid").alias("component"))
+    ids = members.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("cid"))
+    ids = saved(ids.join(component, "cid", "left").select("key", F.coalesce("component", "cid").alias("component")))
     out = members.select("doc_id", "n", "key").join(ids, "key", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
