@@ -7,9 +7,12 @@ bands of ROWS MinHash values find pairs of Jaccard 0.8 with probability
 a different paragraph and which paragraphs occur again; the rest is done with.
 Equal sets are one class. In every band the least class by a salted hash is
 verified against the others on whole sets (so a group of n classes meets up to
-16 such hubs, n pairs each, never n squared), links become components, and
-bands that still hold several components get ROUNDS more hubs of other salts,
-or all their cross pairs where they have at most SMALL classes. Aggregates are
+16 such hubs, n pairs each), links become components, and bands that still
+hold several components are settled: all their cross pairs where they have at
+most SMALL classes; larger ones get ROUNDS more hubs, of classes outside the
+band's largest component, and what is still apart then is verified against the
+whole band, block by block, so that no colliding pair that could join two
+components is left out. Aggregates are
 saved before they are joined back on their key, so that both sides are dealt
 anew and a hot key's rows can be split. Every component
 keeps its first paragraph (smallest doc_id, then place); the others go.
@@ -30,9 +33,11 @@ from pyspark.sql import DataFrame, functions as F
 from . import kernels as K, routing as R
 from .common import batched, bucket_count, components, saved
 from .quality import NEWLINE
-from .setjoin import _runs, verified
+from .setjoin import _runs, needed, verified
 
 SHINGLE, MIN_WORDS, PERCENT, BANDS, ROWS, ROUNDS, SMALL = 5, 25, 80, 16, 5, 2, 32
+#: Most classes, and about the most bytes of sets, in a block of a large band.
+BLOCK, BLOCK_BYTES = 512, 4_000_000
 _rng = np.random.default_rng(99)
 FACTOR = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFT = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -108,6 +113,51 @@ def _shared(t: pa.Table) -> pa.Table:
     return R.reply(t, row, ((low != high) | (low == 0)).astype(np.uint8)[place])
 
 
+def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, width: int = 4096) -> np.ndarray:
+    """(left x right) sizes of the intersections of sets, by incidence matrices of some grams at a time."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    keep = count[place] > 1
+    col, owner = (np.cumsum(count > 1) - 1)[place][keep], owner[keep]
+    order = np.argsort(col, kind="stable")
+    col, owner = col[order], owner[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int(col[-1]) + 1 if len(col) else 0, width):
+        a, z = np.searchsorted(col, [low, low + width])
+        m = np.zeros((len(sets), width), np.float32)
+        m[owner[a:z], col[a:z] - low] = 1
+        out += m[left] @ m[right].T
+    return out.astype(np.int64)
+
+
+def _cross(percent: int):
+    """Links that join components of two blocks of a band (one link a join)."""
+    def run(key, t):
+        cid, label, block = (np.array(t[c].to_pylist(), np.int64) for c in ("cid", "label", "block"))
+        sets = [np.frombuffer(g, np.uint64) for g in t["grams"].to_pylist()]
+        left, right = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
+        up, a, b = {x: x for x in label.tolist()}, [], []
+
+        def find(x):
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        if len(left) and len(right):
+            n = np.array([len(s) for s in sets], np.int64)
+            hit = (overlaps(sets, left, right) >= needed(n[left][:, None], n[right][None, :], percent)) & (label[left][:, None] != label[right][None, :])
+            for i, j in zip(*(x.tolist() for x in np.nonzero(hit)), strict=True):
+                x, y = find(int(label[left[i]])), find(int(label[right[j]]))
+                if x != y:
+                    up[x] = y
+                    a.append(max(cid[left[i]], cid[right[j]]))
+                    b.append(min(cid[left[i]], cid[right[j]]))
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
 PARTS = "doc_id long, line int, n_lines long, n_words long, start long, stop long, words long, key long, grams binary, bands array<long>"
 
 
@@ -144,22 +194,42 @@ def repeated_paragraphs(docs: DataFrame, *, id_col="doc_id", text_col="text") ->
     fits = lambda a, b: F.lit(100) * F.least(a, b) >= F.lit(PERCENT) * F.greatest(a, b)
 
     def hub_pairs(rows: DataFrame, salt: int) -> DataFrame:
-        """rows: band, cid, n, label. Every class with its band's hub."""
-        hub = saved(rows.groupBy("band").agg(F.min(F.struct(F.xxhash64(F.lit(salt), "band", "cid").alias("r"), "cid", "n", "label")).alias("h")))
+        """rows: band, cid, n, label, outside. Every class with its band's hub, one of those outside."""
+        hub = saved(rows.where("outside").groupBy("band").agg(F.min(F.struct(F.xxhash64(F.lit(salt), "band", "cid").alias("r"), "cid", "n", "label")).alias("h")))
         j = rows.join(hub, "band").where((F.col("label") != F.col("h.label")) & fits(F.col("n"), F.col("h.n")))
         return j.select(F.greatest("cid", "h.cid").alias("a"), F.least("cid", "h.cid").alias("b")).distinct()
 
-    links = saved(verified(hub_pairs(posts.withColumn("label", F.col("cid")), 0), classes, PERCENT))
-    for salt in range(1, ROUNDS + 1):
+    def undecided(least: int) -> DataFrame:
+        """Classes of the bands of `least` classes or more that still hold several components."""
         labels = components(links).withColumnsRenamed({"id": "cid", "component": "label"})
         named = saved(posts.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid")))
-        split = saved(named.groupBy("band").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("k")).where("l <> h").select("band", "k"))
-        live = saved(named.join(split, "band"))
-        few = live.where(F.col("k") <= SMALL)
-        other = few.select("band", F.col("cid").alias("c2"), F.col("n").alias("n2"), F.col("label").alias("l2"))
-        pairs = few.join(other, "band").where((F.col("cid") > F.col("c2")) & (F.col("label") != F.col("l2")) & fits(F.col("n"), F.col("n2"))).select(F.col("cid").alias("a"), F.col("c2").alias("b"))
-        pairs = pairs.union(hub_pairs(live.where(F.col("k") > SMALL).drop("k"), salt)).distinct()
-        links = saved(links.union(verified(pairs, classes, PERCENT)).distinct())
+        split = saved(named.groupBy("band").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("k")).where(f"l <> h and k >= {least}").select("band", "k"))
+        return saved(named.join(split, "band"))
+
+    def large(live: DataFrame) -> DataFrame:
+        """outside: not of the band's largest component."""
+        rows = live.where(F.col("k") > SMALL)
+        top = saved(rows.groupBy("band", "label").agg(F.count("*").alias("c")).groupBy("band").agg(F.max(F.struct("c", "label")).alias("top")))
+        return saved(rows.join(top, "band").withColumn("outside", F.col("label") != F.col("top.label")).drop("k", "top"))
+
+    links = saved(verified(hub_pairs(posts.withColumns({"label": F.col("cid"), "outside": F.lit(True)}), 0), classes, PERCENT))
+    live = undecided(2)
+    few = live.where(F.col("k") <= SMALL)
+    other = few.select("band", F.col("cid").alias("c2"), F.col("n").alias("n2"), F.col("label").alias("l2"))
+    pairs = few.join(other, "band").where((F.col("cid") > F.col("c2")) & (F.col("label") != F.col("l2")) & fits(F.col("n"), F.col("n2"))).select(F.col("cid").alias("a"), F.col("c2").alias("b"))
+    for salt in range(1, ROUNDS + 1):
+        more = hub_pairs(large(live), salt)
+        links = saved(links.union(verified((pairs.union(more) if salt == 1 else more).distinct(), classes, PERCENT)).distinct())
+        live = undecided(SMALL + 1)
+
+    # what is outside the largest component against the whole band
+    rows = large(live)
+    blocks = lambda inside: F.ceil(F.greatest(F.count_if(inside) / BLOCK, F.sum(F.when(inside, F.col("n") * 8).otherwise(0)) / BLOCK_BYTES))
+    size = saved(rows.groupBy("band").agg(blocks(F.col("outside")).alias("bo"), blocks(~F.col("outside")).alias("bb")))
+    rows = rows.join(size, "band").withColumn("block", F.when(F.col("outside"), F.pmod(F.xxhash64("cid"), F.col("bo"))).otherwise(F.col("bo") + F.pmod(F.xxhash64("cid"), F.col("bb"))))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("outside"), F.col("bo") + F.col("bb")).otherwise(F.col("bo")) - 1)))
+    rows = rows.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cid", "label", "block").join(classes.select("cid", "grams"), "cid")
+    links = saved(links.union(rows.groupBy("band", "i", "j").applyInArrow(_cross(PERCENT), "a long, b long")).distinct())
 
     component = components(links).withColumnsRenamed({"id": "key"})
     found = parts.where("line >= 0").select("doc_id", "line", "start", "stop", "words", "key").join(component, "key", "left").withColumn("group", F.coalesce("component", "key"))
