@@ -14,7 +14,8 @@ when PERCENT of their union is shared. Equal sets are one class from the start.
    Only subtrees that still hold two components are stored as tries and
    traversed: a probe shares the partial overlap of all paths below a node and
    leaves a node once the overlap so far and the remaining length can't reach
-   the needed overlap. The pairs that survive are verified on whole sets.
+   the needed overlap (grams past the end of the probe's own path, which is cut
+   where the row's may go on, count as possible hits). The pairs that survive are verified on whole sets.
    Large subtrees are dealt in blocks, so that no task holds one whole.
 
 Thousands of near copies therefore cost a line of verified links, not all
@@ -128,7 +129,7 @@ class Trie:
         return {"next": {}, "rows": [], "least": 2**62, "most": 0, "tail": 0}
 
     def add(self, row, path):
-        """row: (cid, n, at, label); path: grams after the subtree's own."""
+        """row: (cid, n, at, label); path: grams after the subtree's own, in the global order of ints."""
         node = self.root
         for depth, g in enumerate([None, *path]):
             if depth:
@@ -138,9 +139,11 @@ class Trie:
         node["rows"].append(row)
 
     def probe(self, row, path, percent):
-        """Ids of other components whose overlap can still suffice."""
+        """Ids of other components whose overlap can still suffice. The row's
+        set may hold any gram that comes after the last one of its path."""
         cid, n, at, label = row
         own, out, stack = set(path), set(), [(self.root, 1)]
+        last = path[-1] if path else -1  # the subtree's own gram comes before all others of it
         while stack:
             node, shared = stack.pop()
             if node["most"] * 100 < percent * n or node["least"] * percent > 100 * n:
@@ -150,7 +153,7 @@ class Trie:
             for c, m, p, l in node["rows"]:
                 if l != label and 100 * min(m, n) >= percent * max(m, n) and min(m - p, n - at) >= needed(n, m, percent):
                     out.add(c)
-            stack += [(child, shared + (g in own)) for g, child in node["next"].items()]
+            stack += [(child, shared + (g in own or g > last)) for g, child in node["next"].items()]
         return out
 
 
@@ -158,7 +161,9 @@ def _subtree(percent: int):
     def run(key, t):
         rows = t.to_pylist()
         trie, pairs = Trie(), set()
-        paths = [np.frombuffer(r["path"], np.uint64)[r["at"] + 1 :].tolist() for r in rows]
+        # one int a gram that sorts as the global order does: how many classes hold it, then the gram
+        after = lambda r, c, kind: np.frombuffer(r[c], kind)[r["at"] + 1 :].tolist()
+        paths = [[f << 64 | g for f, g in zip(after(r, "freq", np.uint32), after(r, "path", np.uint64), strict=True)] for r in rows]
         own = [(r["cid"], r["n"], r["at"], r["label"]) for r in rows]
         for r, o, p in zip(rows, own, paths, strict=True):
             if r["block"] == key[1].as_py():
@@ -212,20 +217,21 @@ def document_components(docs: DataFrame, *, gram: int = GRAM, percent: int = PER
 
     def paths(key, x, back):
         if not x.num_rows:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.binary()), pa.array([], pa.list_(pa.int64()))], names=["cid", "n", "path", "shared"])
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.binary()), pa.array([], pa.binary()), pa.array([], pa.list_(pa.int64()))], names=["cid", "n", "path", "freq", "shared"])
         sets = [np.frombuffer(g, np.uint64) for g in x["grams"].to_pylist()]
         keys = np.unique(np.concatenate(sets))
         df = R.answers(back, keys, buckets, np.uint32)
-        out, shared = [], []
+        out, freq, shared = [], [], []
         for s in sets:
             f = df[np.searchsorted(keys, s)]
             order = np.lexsort((s, f))[: len(s) - least_overlap(len(s), percent) + 1]
             out.append(s[order].tobytes())
+            freq.append(f[order].astype(np.uint32).tobytes())
             shared.append(np.flatnonzero(f[order] > 1).tolist())
-        return pa.table([x["cid"], x["n"], pa.array(out, pa.binary()), pa.array(shared, pa.list_(pa.int64()))], names=["cid", "n", "path", "shared"])
+        return pa.table([x["cid"], x["n"], pa.array(out, pa.binary()), pa.array(freq, pa.binary()), pa.array(shared, pa.list_(pa.int64()))], names=["cid", "n", "path", "freq", "shared"])
 
     counts = c.groupBy("batch").applyInArrow(all_grams, R.ASK).groupBy("bucket").applyInArrow(frequency, R.ANSWER)
-    path = saved(c.groupBy("batch").cogroup(counts.groupBy("batch")).applyInArrow(paths, "cid long, n long, path binary, shared array<long>"))
+    path = saved(c.groupBy("batch").cogroup(counts.groupBy("batch")).applyInArrow(paths, "cid long, n long, path binary, freq binary, shared array<long>"))
 
     def post(batches):
         for b in batches:
@@ -252,7 +258,7 @@ def document_components(docs: DataFrame, *, gram: int = GRAM, percent: int = PER
     live = saved(named.join(saved(split(named)), "gram").where(F.col("at") <= slack).select("gram", "cid", "n", "at", "label"))
     live = live.join(split(live), "gram").withColumn("blocks", F.ceil(F.col("k") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
     live = live.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    live = live.select("gram", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cid", "n", "at", "label", "block").join(path.select("cid", "path"), "cid")
+    live = live.select("gram", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cid", "n", "at", "label", "block").join(path.select("cid", "path", "freq"), "cid")
     more = live.groupBy("gram", "i", "j").applyInArrow(_subtree(percent), "a long, b long").distinct()
     links = links.union(saved(verified(more, classes, percent)))
 

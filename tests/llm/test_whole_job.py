@@ -2,7 +2,7 @@
 
 import random
 
-from quern.llm import paragraphs
+from quern.llm import paragraphs, setjoin
 
 from . import brute
 from .test_operators import by_id
@@ -24,3 +24,17 @@ def test_paragraphs_of_a_large_family_edited_apart(spark):
     want = brute.paragraphs(rows)
     lost = [i for i in want if want[i] and not got[i]]
     assert sum(map(bool, want.values())) > 550 and len(lost) <= 6 and not any(got[i] and not want[i] for i in want)
+
+
+def test_jaccard_when_the_larger_set_probes(spark, monkeypatch):
+    """Longer copies link with the base only, and meet it from either side of a block pair."""
+    trie = setjoin.Trie()
+    trie.add((1, 100, 0, 1), list(range(7, 17)))  # under gram 6: Y, whose path is 6 to 16
+    assert trie.probe((2, 105, 5, 2), list(range(7, 12)), 90) == {1}  # X is Y and the rarer 1 to 5: its path ends at 11
+    monkeypatch.setattr(setjoin, "BLOCK", 2)
+    base = [f"w{k}" for k in range(100)]
+    rows = [(0, " ".join(base + [f"z{k}" for k in range(14)])), (1, " ".join(base))]
+    rows += [(i, " ".join(base + [f"x{i}y{k}" for k in range(8 + i % 3)])) for i in range(2, 30)]
+    got = by_id(setjoin.document_components(spark.createDataFrame(rows, "doc_id long, text string")))
+    want = brute.jaccard(rows)
+    assert {i: tuple(x)[1:] for i, x in got.items()} == want and len({c for _, c in want.values()}) == 2
