@@ -12,8 +12,9 @@ docs. All but the last return the columns of documents.
 5. mix: one row per document with the words that the mix takes.
 
 Rows that share a doc_id share their fate in stages 1 to 3 (an id is rejected
-if any of its rows is); null ids are kept by stages 2 and 3 and judged by their
-text in stage 1; an empty table gives an empty result; columns beside doc_id,
+if any of its rows is); rows without an id are judged by what they hold in
+stages 1 and 3 and kept by stage 2, whose choice goes by id; stage 4 goes by
+the text of a row, whatever its id; an empty table gives an empty result; columns beside doc_id,
 text, lang and source pass through, and n_chars follows the redacted text.
 """
 
@@ -31,11 +32,17 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids.where("doc_id is not null").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
+def _judged(docs: DataFrame, verdicts, bad: str, *held: str) -> DataFrame:
+    """docs without the rows that verdicts(docs) finds bad. A row without an id
+    goes by a hash of the columns it is judged by (nulls told from values)."""
+    salt = F.lit("row without an id")
+    own = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(salt, *(x for c in held for x in (F.col(c).isNull(), F.col(c)))))
+    out = verdicts(docs.withColumn("doc_id", own)).where(bad).select(F.col("doc_id").alias("bad_row")).distinct()
+    return docs.join(out, own == F.col("bad_row"), "left_anti")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    verdict = quality.quality_verdicts(docs)
-    keep = _without(docs, verdict.where("not kept").select("doc_id"))
-    # without an id a row can't be told apart: it has words enough or goes
-    return keep.where(F.col("doc_id").isNotNull() | (F.regexp_count("text", F.lit(mixing.WORD)) >= quality.MIN_WORDS))
+    return _judged(docs, quality.quality_verdicts, "not kept", "text", "lang", "source")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,12 +56,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    verdict = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, verdict.where("contaminated").select("doc_id"))
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _judged(docs, lambda x: decontaminate.contamination(x, benchmark), "contaminated", "text")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = secrets.secret_spans(docs).where("spans <> ''").select("doc_id", "spans").dropDuplicates(["doc_id"])
+    # spans follow from the text alone: they come back by its hash, so that null and repeated ids get their own
+    own = F.xxhash64("text")
+    found = secrets.secret_spans(docs.withColumn("doc_id", own)).where("spans <> ''").select(F.col("doc_id").alias("text_hash"), "spans").dropDuplicates(["text_hash"])
 
     names = docs.columns
 
@@ -68,9 +77,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
                 out = out.set_column(j, "n_chars", pa.array([None if t is None else len(t) for t in texts], pa.int64()))
             yield out.select(names)
 
-    touched = docs.join(found, "doc_id").select(*docs.columns, "spans")
+    touched = docs.join(found, own == F.col("text_hash")).select(*docs.columns, "spans")
     schema = docs.schema if "n_chars" not in docs.columns else docs.withColumn("n_chars", F.lit(0).cast("long")).schema
-    return _without(docs, found.select("doc_id")).unionByName(touched.mapInArrow(run, schema))
+    return docs.join(found, own == F.col("text_hash"), "left_anti").unionByName(touched.mapInArrow(run, schema))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline as C
 from quern.llm import paragraphs, setjoin
 
 from . import brute
@@ -38,3 +39,22 @@ def test_jaccard_when_the_larger_set_probes(spark, monkeypatch):
     got = by_id(setjoin.document_components(spark.createDataFrame(rows, "doc_id long, text string")))
     want = brute.jaccard(rows)
     assert {i: tuple(x)[1:] for i, x in got.items()} == want and len({c for _, c in want.values()}) == 2
+
+
+def test_pipeline_rows_without_an_id_of_their_own(spark, tmp_path):
+    """Null and repeated ids: secrets, benchmark passages and junk are found row by row."""
+    words = lambda tag, n=40: " ".join(f"{tag}{k}" for k in range(n))
+    key = "password = abcdefGHIJKL0123"
+    spark.createDataFrame([(1, words("bench"))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+    texts = lambda df: sorted(r.text for r in df.collect())
+
+    junk, good = " ".join(["again and again and again and again and"] * 8), words("good")
+    assert texts(C.quality_rules(spark, frame([(None, junk), (None, good), (None, "few words"), (1, good)]), str(tmp_path))) == [good, good]
+    leaked = words("bench") + " end"
+    assert texts(C.decontaminate_benchmark(spark, frame([(None, leaked), (None, good), (2, leaked), (3, good)]), str(tmp_path))) == [good, good]
+    rows = [(None, f"{words('a')} {key}"), (None, words("b")), (4, f"{key} {words('c')}"), (4, f"{words('d')} {key} end"), (4, words("e"))]
+    redacted = C.redact_secrets(spark, frame(rows), str(tmp_path)).collect()
+    assert sorted(r.text for r in redacted) == sorted(t.replace(key, "[ASSIGN]") for _, t in rows)
+    assert all(r.n_chars == len(r.text) for r in redacted)
