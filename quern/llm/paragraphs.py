@@ -1,7 +1,9 @@
 """Substring deduplication by paragraphs: MinHash banding, exact Jaccard, components.
 
-A paragraph is a line of MIN_WORDS words or more (shorter lines are headings
-and notices and stay). Its set are its distinct SHINGLE-word hashes. BANDS
+A paragraph is a line of min_words words or more: MIN_WORDS unless the caller
+says so; the query takes every line that has a shingle. Shorter lines stay. Sets
+of fewer than LEAST_NEAR shingles link with equal sets only and have no bands. A
+paragraph's set are its distinct SHINGLE-word hashes. BANDS
 bands of ROWS MinHash values find pairs of Jaccard 0.8 with probability
 1 - (1 - 0.8**5)**16 = 0.998. Batches ask hash buckets which bands collide with
 a different paragraph and which paragraphs occur again; the rest is done with.
@@ -38,6 +40,8 @@ from .setjoin import _runs, needed, verified
 SHINGLE, MIN_WORDS, PERCENT, BANDS, ROWS, ROUNDS, SMALL = 5, 25, 80, 16, 5, 2, 32
 #: Most classes, and about the most bytes of sets, in a block of a large band.
 BLOCK, BLOCK_BYTES = 512, 4_000_000
+#: Fewest shingles with which another set can share PERCENT of the union: a of a + 1.
+LEAST_NEAR = -(-PERCENT // (100 - PERCENT))
 _rng = np.random.default_rng(99)
 FACTOR = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFT = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -58,7 +62,7 @@ def band_keys(grams: np.ndarray, first: np.ndarray, bands: int = BANDS, rows: in
 class Batch:
     """Paragraphs of a batch of documents: place, words, set, band keys."""
 
-    def __init__(self, t: pa.Table):
+    def __init__(self, t: pa.Table, least: int):
         t = R.sorted_rows(t)
         self.ids = t["doc_id"].to_pylist()
         docs, spans, words, sets, self.n_lines, self.n_words = [], [], [], [], [], []
@@ -75,7 +79,7 @@ class Batch:
                 self.n_words += np.diff(first).tolist()
                 cps = K.code_points(data)
                 grams = K.gram_hashes(hashes, SHINGLE)
-                for i in np.flatnonzero(z - a >= MIN_WORDS).tolist():
+                for i in np.flatnonzero(z - a >= least).tolist():
                     zero = cps[offsets[owner[i]]]
                     docs.append(base + int(owner[i]))
                     spans.append((int(cps[ls[i]] - zero), int(cps[le[i]] - zero)))
@@ -84,16 +88,20 @@ class Batch:
         self.doc, self.spans, self.words, self.sets = docs, spans, words, sets
         self.keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
         own = np.array([int.from_bytes(k[:8], "little") | 1 for k in self.keys], np.uint64)
-        first = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
-        self.bands = band_keys(np.concatenate([*sets, np.zeros(0, np.uint64)]), first)
+        self.wide = np.flatnonzero([len(s) >= LEAST_NEAR for s in sets])
+        wide = [sets[i] for i in self.wide.tolist()]
+        first = np.concatenate([[0], np.cumsum([len(s) for s in wide])]).astype(np.int64)
+        bands = band_keys(np.concatenate([*wide, np.zeros(0, np.uint64)]), first)
+        self.bands = np.zeros((len(sets), BANDS), np.uint64)
+        self.bands[self.wide] = bands
         # asked: bands (marked by their set) and sets (marked by the batch; 0 if twice in it)
-        self.asked, self.place = np.unique(np.concatenate([self.bands.ravel(), K.mix(own)]), return_inverse=True)
+        self.asked, self.place = np.unique(np.concatenate([bands.ravel(), K.mix(own)]), return_inverse=True)
         low, high = np.full(len(self.asked), np.iinfo(np.uint64).max, np.uint64), np.zeros(len(self.asked), np.uint64)
-        marks = np.concatenate([np.repeat(own, BANDS), np.arange(1, len(own) + 1, dtype=np.uint64)])
+        marks = np.concatenate([np.repeat(own[self.wide], BANDS), np.arange(1, len(own) + 1, dtype=np.uint64)])
         np.minimum.at(low, self.place, marks)
         np.maximum.at(high, self.place, marks)
         self.low, self.one = low, low == high
-        self.n_bands = self.bands.size
+        self.n_bands = bands.size
 
     def marks(self, batch: int) -> np.ndarray:
         m = np.where(self.one, self.low, np.uint64(0))
@@ -161,20 +169,22 @@ def _cross(percent: int):
 PARTS = "doc_id long, line int, n_lines long, n_words long, start long, stop long, words long, key long, grams binary, bands array<long>"
 
 
-def repeated_paragraphs(docs: DataFrame, *, id_col="doc_id", text_col="text") -> DataFrame:
+def repeated_paragraphs(docs: DataFrame, *, min_words: int = MIN_WORDS, id_col="doc_id", text_col="text") -> DataFrame:
     """One row per document: paragraphs, what goes, and where it stands."""
+    least = max(min_words, SHINGLE)
     spark = docs.sparkSession
     buckets = bucket_count(spark)
     t = batched(docs, id_col, text_col)
 
     def ask(key, x):
-        b = Batch(x)
+        b = Batch(x, least)
         return R.ask(key[0].as_py(), b.asked, b.marks(key[0].as_py()), buckets)
 
     def sift(key, x, back):
-        b = Batch(x)
+        b = Batch(x, least)
         hit = R.answers(back, b.asked, buckets).astype(bool)[b.place]
-        band, again = hit[: b.n_bands].reshape(b.bands.shape), hit[b.n_bands :]
+        band, again = np.zeros(b.bands.shape, bool), hit[b.n_bands :]
+        band[b.wide] = hit[: b.n_bands].reshape(-1, BANDS)
         rows = [(i, -1, n, w, None, None, None, None, None, None) for i, n, w in zip(b.ids, b.n_lines, b.n_words, strict=True)]
         seen = set()
         for p in np.flatnonzero(band.any(1) | again).tolist() if len(b.sets) else []:

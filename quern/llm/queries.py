@@ -10,7 +10,7 @@ def table(spark, sf_dir: str, name: str):
 
 
 def op1_paragraph_dedup(spark, sf_dir):
-    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"), min_words=paragraphs.SHINGLE)
 
 
 def op2_suffix_array_dedup(spark, sf_dir):

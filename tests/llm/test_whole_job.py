@@ -3,10 +3,10 @@
 import random
 
 import corpus_pipeline as C
-from quern.llm import paragraphs, setjoin
+from quern.llm import paragraphs, queries, setjoin
 
 from . import brute
-from .test_operators import by_id
+from .test_operators import by_id, corpus
 
 
 def test_paragraphs_of_a_large_family_edited_apart(spark):
@@ -58,3 +58,15 @@ def test_pipeline_rows_without_an_id_of_their_own(spark, tmp_path):
     redacted = C.redact_secrets(spark, frame(rows), str(tmp_path)).collect()
     assert sorted(r.text for r in redacted) == sorted(t.replace(key, "[ASSIGN]") for _, t in rows)
     assert all(r.n_chars == len(r.text) for r in redacted)
+
+
+def test_paragraph_query_takes_short_lines(spark, tmp_path):
+    """Lines of 5 to 24 words, hard-wrapped passages among them, against brute force without the floor."""
+    wrapped = "\n".join(" ".join(f"p{k}q{j}" for j in range(10)) for k in range(6))
+    rows = [*corpus(100, seed=21), (20_000, "one two three four five"), (20_001, "x\nOne two three four five\ntoo short line"), (20_002, wrapped), (20_003, "head\n" + wrapped)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {i: x.removed_spans for i, x in by_id(queries.op1_paragraph_dedup(spark, str(tmp_path))).items()}
+    want = brute.paragraphs(rows, least=5)
+    pairs = lambda x: {(i, s) for i, v in x.items() for s in v.split(",") if s}
+    assert set(got) == set(want) and pairs(got) <= pairs(want) and len(pairs(got)) >= 0.97 * len(pairs(want))
+    assert got[20_001] == want[20_001] != "" and len(got[20_003].split(",")) == 6
