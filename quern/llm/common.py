@@ -6,13 +6,15 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .kernels import string_buffers
 
 #: Documents whose ids fall into one block of this many ids are handled
 #: together by the operators that send packed hash arrays between executors.
 BATCH_IDS = 256
+#: Most bytes of text of such a block; one document is never cut.
+BATCH_BYTES = 32_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -53,13 +55,23 @@ def maybe_broadcast(df: DataFrame, rows: int = 50_000) -> DataFrame:
     return F.broadcast(df) if small_enough(df, rows) else df
 
 
-def batched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ids: int = BATCH_IDS) -> DataFrame:
-    """(batch, doc_id, text) with blocks of so many ids; null ids come last."""
-    key = F.col(id_col).cast("long")
-    return docs.select(
-        F.coalesce(F.floor(key / F.lit(ids)).cast("long"), F.lit(2**62)).alias("batch"),
-        key.alias("doc_id"), F.col(text_col).alias("text"),
-    )
+def batched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ids: int = BATCH_IDS, most: int = BATCH_BYTES) -> DataFrame:
+    """(batch, doc_id, text): documents that are handled together, batches in the order of ids.
+
+    A batch is a block of `ids` ids; a block of over `most` bytes of text is
+    dealt id by id. Rows without an id come last, about `ids` of them a batch.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("place"))
+    block = F.col("doc_id") - F.pmod("doc_id", F.lit(ids))
+    load = rows.groupBy(block.alias("heavy")).agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n"))
+    load = saved(load.where(F.col("heavy").isNull() | (F.col("bytes") > most)))
+    bare = load.where("heavy is null").agg(F.sum("n")).first()[0] or 0
+    heavy = load.where("heavy is not null").select("heavy")
+    if not heavy.isEmpty():
+        rows = rows.join(maybe_broadcast(heavy), block == F.col("heavy"), "left")
+        block = F.when(F.col("heavy").isNull(), block).otherwise(F.col("doc_id"))
+    last = F.lit(2**63 - 2**32) + F.pmod(F.xxhash64("place"), F.lit(-(-bare // ids) or 1))
+    return rows.select(F.coalesce(block, last).alias("batch"), "doc_id", "text")
 
 
 def pieces(batches, col: str = "text", limit: int = 4_000_000):
@@ -83,20 +95,22 @@ def components(edges: DataFrame) -> DataFrame:
     shared folder, so that a lost executor costs one round at most. Every
     vertex sends at most its own edges and no component meets in one task: the
     groups are read by partial aggregates only. A round that leaves the edges
-    as they were (count and xor of their hashes) ends it.
+    as they were (count and xor of their hashes, observed while they are
+    written) ends it.
     """
-    def signature(df):
-        return df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+    def marked(df):
+        seen = Observation()
+        out = saved(df.distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")))
+        return out, (seen.get["n"], seen.get["x"])
 
-    now = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    sign = signature(now)
+    now, sign = marked(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     while sign[0]:
         least = now.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "b")
         large = saved(now.join(least, "b", "left").select("a", F.coalesce("m", "b").alias("b")))
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         stars = large.join(down, "a").select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
-        now, before = saved(stars.select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).where("a <> b").distinct()), sign
-        sign = signature(now)
+        (now, new), before = marked(stars.select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).where("a <> b")), sign
+        sign = new
         if sign == before:
             break
     return saved(now.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("id"), "component"))
