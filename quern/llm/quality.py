@@ -3,16 +3,19 @@
 Fixed rules of the contract come first (base_failed). The method then replaces
 fixed cutoffs by fences learnt from the corpus: one KLL sketch per language and
 source and feature, merged upwards to languages and to the whole corpus. A
-group's fence lies SPREAD interquartile half-widths above its median, so it
-follows what is usual in that language and source and only far outliers go; it
-never falls under a feature's floor, which keeps clean documents of very
-uniform groups. Groups of fewer than MIN_GROUP documents take the fence of
-their language, or else of the corpus.
+fence lies SPREAD scales from the group's median, where the scale is
+the group's own distance from the median to its upper (or lower) quartile, so it
+follows what is usual in that language and source and only far outliers go. Two things
+widen a scale: texts shorter than the group's median length vary more (by the root of
+the ratio of lengths), and a ratio of few events has its own sampling noise, the
+root of NOISE over the number of words (lines for dup_line_ratio), which is all the scale
+there is where most of a group has the same value. Nothing else is fixed. Small groups lean on the
+wider ones: a quantile is the mean of the group's own, weighted by its documents, and that of the
+next wider level, weighted by LEAN documents.
 
 Defined results: a null or blank text has no words and fails the base; null
 languages and sources are groups of their own; repeated rows are judged one by
-one; an empty table gives no rows; other input columns are ignored (or kept by
-filter_quality).
+one; an empty table gives no rows; other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,9 +32,11 @@ NEWLINE[10] = True
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8
-SPREAD, MIN_GROUP, KLL_K = 8.0, 200, 200
-#: feature -> floor of its fence
-FLOORS = {"symbol_ratio": 0.25, "dup_line_ratio": 0.5, "repeat_ratio": 0.3, "word_length": 14.0}
+SPREAD, LEAN, KLL_K = 8.0, 50, 200
+#: feature -> (sampling noise of one word or line, what is counted, whether low values are outliers too);
+#: a repeated window marks WINDOW words at once
+NOISE = {"symbol_ratio": (0.04, "n_words", False), "dup_line_ratio": (0.04, "n_lines", False), "repeat_ratio": (0.04 * WINDOW, "n_words", False), "word_length": (0.0, "n_words", True)}
+LENGTH, QUANTILES = "length", (0.25, 0.5, 0.75)
 
 FEATURES = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
@@ -93,44 +98,54 @@ def _ratios(f: DataFrame) -> DataFrame:
     w = F.greatest(F.col("n_words"), F.lit(1))
     return f.withColumns({
         "symbol_ratio": F.col("n_symbols") / w, "dup_line_ratio": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-        "repeat_ratio": F.col("n_repeat_words") / w, "word_length": F.col("word_chars") / w,
+        "repeat_ratio": F.col("n_repeat_words") / w, "word_length": F.col("word_chars") / w, LENGTH: F.col("n_words").cast("double"),
     })
 
 
-def fences(features: DataFrame) -> DataFrame:
-    """(lang_key, source_key, fence_<feature>...): one row per group."""
+def quantiles(features: DataFrame) -> DataFrame:
+    """(q_lang, q_source, q_<feature> array of QUANTILES): one row per group, small groups leaning on wider ones."""
+    names = [*NOISE, LENGTH]
     usable = features.where("n_words > 0")
-    sketches = usable.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(F.col(x), F.lit(KLL_K)).alias(x) for x in FLOORS))
-    sketches = saved(sketches)
+    sketches = saved(usable.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(F.col(x), F.lit(KLL_K)).alias(x) for x in names)))
+
+    def level(df, tag):
+        read = lambda x: F.array(*(F.kll_sketch_get_quantile_double(F.col(x), F.lit(q)) for q in QUANTILES))
+        return df.select(*[c for c in ("lang", "source") if c in df.columns], F.col("n").alias(f"n{tag}"), *(read(x).alias(f"{x}{tag}") for x in names))
 
     def merged(*keys):
-        return sketches.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(F.col(x)).alias(x) for x in FLOORS))
+        return sketches.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(F.col(x)).alias(x) for x in names))
 
-    def fence(x):
-        mid, high = (F.kll_sketch_get_quantile_double(F.col(x), F.lit(q)) for q in (0.5, 0.75))
-        return F.greatest(F.lit(FLOORS[x]), mid + F.lit(SPREAD) * (high - mid))
+    corpus = level(merged(F.lit(1)), "_c").first()  # one row of a few numbers; none of an empty table
+    lang = level(merged("lang"), "_l").withColumnRenamed("lang", "of_lang")
+    j = level(sketches, "_g").join(lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
 
-    def level(df, tag):
-        return df.select(*[c for c in ("lang", "source") if c in df.columns], F.col("n").alias(f"n_{tag}"), *(fence(x).alias(f"{x}_{tag}") for x in FLOORS))
+    def lean(own, n, wider):
+        return F.zip_with(own, wider, lambda a, b: (F.col(n) * a + F.lit(LEAN) * b) / (F.col(n) + F.lit(LEAN)))
+
+    def at(x):
+        whole = F.array(*(F.lit(float(v)) for v in (corpus[f"{x}_c"] if corpus else [0.0] * len(QUANTILES))))
+        return lean(F.col(f"{x}_g"), "n_g", lean(F.col(f"{x}_l"), "n_l", whole)).alias(f"q_{x}")
 
-    own, lang, corpus = level(sketches, "g"), level(merged("lang"), "l"), level(merged(F.lit(1)), "c")
-    lang = lang.withColumnRenamed("lang", "lang_l")
-    overall = corpus.first() or {}  # one row of one number a feature; none of an empty table
-    j = own.join(lang, own["lang"].eqNullSafe(lang["lang_l"]), "left")
+    return j.select(F.col("lang").alias("q_lang"), F.col("source").alias("q_source"), *(at(x) for x in names))
 
-    def pick(x):
-        rest = F.lit(float(overall[f"{x}_c"] if overall else FLOORS[x]))
-        return F.when(F.col("n_g") >= MIN_GROUP, F.col(f"{x}_g")).when(F.col("n_l") >= MIN_GROUP, F.col(f"{x}_l")).otherwise(rest)
 
-    return j.select(F.col("lang").alias("fence_lang"), F.col("source").alias("fence_source"), *(pick(x).alias(f"fence_{x}") for x in FLOORS))
+def _outlier(x: str):
+    """Name of feature x where it lies beyond a fence of its group."""
+    noise, counted, both = NOISE[x]
+    low, mid, high = (F.element_at(f"q_{x}", k) for k in (1, 2, 3))
+    short = F.sqrt(F.greatest(F.lit(1.0), F.element_at(f"q_{LENGTH}", 2) / F.greatest(F.col("n_words"), F.lit(1))))
+    own = F.sqrt(F.lit(noise) / F.greatest(F.col(counted), F.lit(1)))
+    beyond = F.col(x) - mid > F.lit(SPREAD) * F.greatest((high - mid) * short, own)
+    if both:
+        beyond |= mid - F.col(x) > F.lit(SPREAD) * F.greatest((mid - low) * short, own)
+    return F.when(beyond, F.lit(x))
 
 
 def quality_verdicts(docs: DataFrame) -> DataFrame:
-    """One row per document: features, base_failed, kept and the fence broken."""
+    """One row per document: features, base_failed, kept and the features out of their fences."""
     f = _ratios(saved(quality_features(docs)))
-    limits = maybe_broadcast(saved(fences(f)))
-    j = f.join(limits, f["lang"].eqNullSafe(limits["fence_lang"]) & f["source"].eqNullSafe(limits["fence_source"]), "left")
+    limits = maybe_broadcast(saved(quantiles(f)))
+    j = f.join(limits, f["lang"].eqNullSafe(limits["q_lang"]) & f["source"].eqNullSafe(limits["q_source"]), "left")
     base = (F.col("n_words") < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(REPEAT_PERCENT) * F.col("n_words"))
-    broken = F.array_compact(F.array(*(F.when(F.col(x) > F.col(f"fence_{x}"), F.lit(x)) for x in FLOORS)))
-    j = j.withColumn("base_failed", base).withColumn("outlier_in", F.array_join(broken, ","))
+    j = j.withColumn("base_failed", base).withColumn("outlier_in", F.array_join(F.array_compact(F.array(*(_outlier(x) for x in NOISE))), ","))
     return j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("outlier_in") == "")).alias("kept"), "outlier_in")

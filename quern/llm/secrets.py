@@ -7,8 +7,9 @@ uniform random source with a chi-squared test of the alphabet, a runs test and
 a serial-correlation test, combined by Fisher's method. What ordinary text
 gives by chance is read from the corpus itself: letter-only runs (long words)
 form the null sample, in length bands (a band of under MIN_NULL words takes in
-the next shorter ones, whose words look more random). A candidate (letters and digits mixed,
-so that it can carry a key) gets a conformal p-value from its band and the
+the next shorter ones, whose words look more random). A candidate (letters and digits mixed, or
+letters whose case changes inside, so that it can carry a key; runs of digits alone are the base's)
+gets a conformal p-value from its band and the
 Benjamini-Hochberg rule at level FDR decides band by band. Both samples are
 mergeable histograms of LEVELS x bands cells, whatever the corpus size.
 
@@ -117,7 +118,11 @@ def _scan(batches):
         cells = _cell(p, ends - starts)
         digit = (kinds & 1) > 0
         letter = (kinds & 30) > 0
-        null = letter & ~digit & ((kinds & 32) == 0)
+        upper = np.concatenate([[0], np.cumsum((data >= 65) & (data <= 90))])
+        inner = upper[ends] - upper[np.minimum(starts + 1, ends)]  # capitals after the first letter
+        mixed = letter & ~digit & (inner > 0) & ((kinds & 6) > 0)
+        candidate = letter & (digit | mixed)
+        null = letter & ~digit & ~mixed & ((kinds & 32) == 0)
         null_cells = np.bincount(cells[null], minlength=len(BANDS) * LEVELS)
         point = {}
 
@@ -140,7 +145,7 @@ def _scan(batches):
                 for m in pattern.finditer(run):
                     if m.end() - m.start() >= LEAST[kind]:
                         spans.setdefault(d, []).append((kind, points(d, a + m.start()), points(d, a + m.end())))
-            if digit[i] and letter[i]:
+            if candidate[i]:
                 extra.setdefault(d, []).append({"s": points(d, a), "e": points(d, int(ends[i])), "cell": int(cells[i])})
         # hex runs of lower-case letters can lie inside words of other letters
         for i in np.flatnonzero(~(digit | ((kinds & 24) > 0) | ((kinds & ~np.uint8(3)) == 0) | ((kinds & 32) > 0))).tolist():
@@ -194,13 +199,43 @@ def _finish(limits: dict[int, int]):
     return run
 
 
+def _tally(df: DataFrame) -> dict[int, int]:
+    return {r[0]: r[1] for r in df.groupBy("cell").count().collect()}  # at most bands x LEVELS rows
+
+
+def _limits(found: DataFrame, fdr: float) -> dict[int, int]:
+    null = _tally(found.select(F.explode("null_cells").alias("cell")))
+    return admitted_levels(null, _tally(found.select(F.explode("extra.cell").alias("cell"))), fdr)
+
+
 def secret_spans(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """One row per document: counts, digest of the base spans, all spans."""
     found = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan, SCAN))
-    tally = lambda df: {r[0]: r[1] for r in df.groupBy("cell").count().collect()}  # noqa: E731  at most bands x LEVELS rows
-    null = tally(found.select(F.explode("null_cells").alias("cell")))
-    cand = tally(found.select(F.explode("extra.cell").alias("cell")))
-    return found.mapInArrow(_finish(admitted_levels(null, cand, fdr)), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return found.mapInArrow(_finish(_limits(found, fdr)), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+
+
+def redact_documents(docs: DataFrame, *, text_col: str = "text", chars_col: str = "n_chars", fdr: float = FDR) -> DataFrame:
+    """docs with the secrets of each row's text replaced where they stand, whatever its
+    other columns hold; chars_col, if there is one, follows the text. The levels
+    are learnt in a first pass; the second scans and redacts a row at once, without a join."""
+    own = docs.select(F.lit(None).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    limits = _limits(saved(own.mapInArrow(_scan, SCAN).select("extra.cell", "null_cells").where("size(cell) + size(null_cells) > 0").withColumn("extra", F.transform("cell", lambda c: F.struct(c.alias("cell"))))), fdr)
+    names, finish = docs.columns, _finish(limits)
+
+    def run(batches):
+        for b in pieces(batches, text_col):
+            i = b.schema.get_field_index(text_col)
+            seen = pa.RecordBatch.from_arrays([pa.nulls(b.num_rows, pa.int64()), b.column(i)], ["doc_id", "text"])
+            spans = [s for out in finish(_scan([seen])) for s in out.column("spans").to_pylist()]
+            texts = [redact(t, s) for t, s in zip(b.column(i).to_pylist(), spans, strict=True)]
+            out = b.set_column(i, text_col, pa.array(texts, pa.string()))
+            j = out.schema.get_field_index(chars_col)
+            if j >= 0:
+                out = out.set_column(j, chars_col, pa.array([None if t is None else len(t) for t in texts], pa.int64()))
+            yield out.select(names)
+
+    schema = docs.schema if chars_col not in names else docs.withColumn(chars_col, F.lit(0).cast("long")).schema
+    return docs.mapInArrow(run, schema)
 
 
 def redact(text: str | None, spans: str, mark: str = "[{}]") -> str | None:

@@ -4,8 +4,9 @@ write_archives turns rows into WARC/1.1 records. A payload is carried in an
 HTTP response block with chunked transfer framing; a block longer than
 SEGMENT_BYTES is cut into a first record and continuation records
 (WARC-Segment-Number, WARC-Segment-Origin-ID, WARC-Segment-Total-Length on the
-last). Of equal payloads the largest id is the response and the others are
-revisit records without a payload. Files are written by Spark's text writer
+last). Of equal payloads the row of the largest id is the response and the others are
+revisit records without a payload. Every row has a record id of its own (its place in the input, which
+scans of files repeat), and carries its page id as a field, so that ids may be missing or stand twice. Files are written by Spark's text writer
 with the record terminator CRLF CRLF as line separator, so any file system
 that Spark writes to will do; each task's file is gzip-compressed.
 
@@ -16,8 +17,9 @@ is missing and that the total length is right, and decodes the chunked framing.
 Segmented records meet by origin id: one payload per group, never more.
 
 Defined results: a null payload is an empty one; equal empty payloads are
-revisits too (min_revisit_bytes=0); ids must be unique and not null (an id's
-records share one URN; repeated ids raise an error on reading); a null url is
+revisits too (min_revisit_bytes=0); rows that share an id are records of their own (of equal
+payloads the later row is the response, the other refers to the same id); null ids come
+before all others and read back as null; a null url is
 written as an empty target; damaged or incomplete records raise ValueError; an
 empty table writes no records and reads back no rows. Other columns are ignored.
 """
@@ -71,11 +73,12 @@ def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return b"WARC/1.1\r\n" + head.encode() + CRLF + block
 
 
-def records_of(key: str, url: str, payload: bytes, response: str | None, segment_bytes: int = SEGMENT_BYTES) -> list[bytes]:
-    """All records of one row; response: the id a revisit refers to."""
+def records_of(key: str, url: str, payload: bytes, response: str | None, segment_bytes: int = SEGMENT_BYTES, page: str | None = None, refers: str | None = None) -> list[bytes]:
+    """All records of one row; response: the record a revisit refers to; page, refers: the page ids of both."""
     urn = f"<urn:page:{key}>"
     url = url.replace("\r", "%0D").replace("\n", "%0A")
-    common = [("WARC-Date", DATE), ("WARC-Target-URI", url), ("WARC-Payload-Digest", "sha1:" + digest32(hashlib.sha1(payload).digest()))]
+    common = [("X-Page-ID", page)] * (page is not None) + [("X-Refers-To-Page", refers)] * (refers is not None)
+    common += [("WARC-Date", DATE), ("WARC-Target-URI", url), ("WARC-Payload-Digest", "sha1:" + digest32(hashlib.sha1(payload).digest()))]
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
     if response is not None:
         more = [("WARC-Refers-To", f"<urn:page:{response}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("X-Payload-Length", str(len(payload)))]
@@ -94,17 +97,19 @@ def records_of(key: str, url: str, payload: bytes, response: str | None, segment
 
 def write_archives(rows: DataFrame, path: str, *, key="page_id", url="url", payload="html", min_revisit_bytes: int = 0, segment_bytes: int = SEGMENT_BYTES) -> None:
     body = F.coalesce(F.encode(F.col(payload), "UTF-8"), F.lit(b""))
-    d = rows.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(url), F.lit("")).alias("url"), body.alias("payload"))
-    sums = d.select("key", F.sha1("payload").alias("sha"), F.octet_length("payload").alias("n")).where(F.col("n") >= min_revisit_bytes)
-    groups = sums.groupBy("sha").agg(F.max("key").alias("response"), F.count("*").alias("k")).where("k > 1").select("sha", "response")
-    revisits = saved(sums.join(groups, "sha").where("key <> response").select("key", "response"))
-    d = d.join(revisits, "key", "left") if not revisits.isEmpty() else d.withColumn("response", F.lit(None).cast("long"))
+    d = rows.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("key"), F.coalesce(F.col(url), F.lit("")).alias("url"), body.alias("payload"))
+    sums = d.select("row", "key", F.sha1("payload").alias("sha"), F.octet_length("payload").alias("n")).where(F.col("n") >= min_revisit_bytes)
+    last = F.struct(F.col("key").isNotNull().alias("some"), F.col("key").alias("refers"), F.col("row").alias("response"))
+    groups = sums.groupBy("sha").agg(F.max(last).alias("top"), F.count("*").alias("k")).where("k > 1").select("sha", "top.refers", "top.response")
+    revisits = saved(sums.join(saved(groups), "sha").where("row <> response").select("row", "refers", "response"))
+    d = d.join(revisits, "row", "left") if not revisits.isEmpty() else d.withColumns({"refers": F.lit(None).cast("long"), "response": F.lit(None).cast("long")})
 
     def run(batches):
+        text = lambda x: None if x is None else str(x)
         for b in batches:
             out = []
-            for k, u, p, r in zip(*(b.column(c).to_pylist() for c in ("key", "url", "payload", "response")), strict=True):
-                out += records_of(str(k), u, p, None if r is None else str(r), segment_bytes)
+            for n, k, u, p, f, r in zip(*(b.column(c).to_pylist() for c in ("row", "key", "url", "payload", "refers", "response")), strict=True):
+                out += records_of(str(n), u, p, text(r), segment_bytes, text(k), text(f))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     records = d.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
@@ -141,8 +146,8 @@ def payload_of(block: bytes) -> bytes:
     return dechunked(body) if b"transfer-encoding: chunked" in head.lower() else body
 
 
-PART = "origin string, segment int, total long, kind string, refers string, url string, digest string, length long, block binary"
-PAGE = "record_id string, kind string, refers string, url string, payload_bytes long, payload_digest string, payload binary"
+PART = "origin string, segment int, total long, kind string, refers string, url string, digest string, length long, page long, refers_page long, block binary"
+PAGE = "record_id string, kind string, refers string, url string, payload_bytes long, payload_digest string, page long, refers_page long, payload binary"
 
 
 def _cut(with_payload: bool):
@@ -161,7 +166,7 @@ def _cut(with_payload: bool):
                         digest, length = digest32(hashlib.sha1(block).digest()), len(block)
                         block = block if with_payload else None
                     total = f.get("warc-segment-total-length")
-                    out.append((f.get("warc-segment-origin-id", f["warc-record-id"]), number, None if total is None else int(total), kind, f.get("warc-refers-to"), f.get("warc-target-uri"), digest, length, block if kind != "revisit" else None))
+                    out.append((f.get("warc-segment-origin-id", f["warc-record-id"]), number, None if total is None else int(total), kind, f.get("warc-refers-to"), f.get("warc-target-uri"), digest, length, *(int(f[c]) if c in f else None for c in ("x-page-id", "x-refers-to-page")), block if kind != "revisit" else None))
                     size += len(block or b"")
                     if size > 8_000_000:
                         yield _batch(out, names)
@@ -172,7 +177,7 @@ def _cut(with_payload: bool):
     return run
 
 
-_TYPES = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+_TYPES = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
 
 def _batch(rows, names):
@@ -189,18 +194,18 @@ def _join(with_payload: bool):
             raise ValueError(f"{key[0]} has {len(block)} bytes, not {rows[-1]['total']}")
         body = payload_of(block)
         first = rows[0]
-        return pa.table([[first["origin"]], [first["kind"]], pa.array([first["refers"]], pa.string()), pa.array([first["url"]], pa.string()), [len(body)], [digest32(hashlib.sha1(body).digest())], pa.array([body if with_payload else None], pa.binary())], names=[c.split()[0] for c in PAGE.split(", ")])
+        return pa.table([[first["origin"]], [first["kind"]], pa.array([first["refers"]], pa.string()), pa.array([first["url"]], pa.string()), [len(body)], [digest32(hashlib.sha1(body).digest())], pa.array([first["page"]], pa.int64()), pa.array([first["refers_page"]], pa.int64()), pa.array([body if with_payload else None], pa.binary())], names=[c.split()[0] for c in PAGE.split(", ")])
 
     return run
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """One row per whole record: id, type, refers_to, url, length, digest, payload."""
+    """One row per whole record: id, type, refers_to, url, length, digest, page ids where the archive has them, payload."""
     files = spark.read.format("binaryFile").load(path).select("content")
     parts = files.mapInArrow(_cut(with_payload), PART)
     # both uses must read each file once: only segments are kept for the second
     parts = saved(parts)
-    whole = parts.where("segment = 0").select(F.col("origin").alias("record_id"), "kind", "refers", "url", F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("block").alias("payload"))
+    whole = parts.where("segment = 0").select(F.col("origin").alias("record_id"), "kind", "refers", "url", F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "page", "refers_page", F.col("block").alias("payload"))
     return whole.unionByName(parts.where("segment > 0").groupBy("origin").applyInArrow(_join(with_payload), PAGE))
 
 
@@ -209,6 +214,5 @@ def warc_round_trip(pages: DataFrame, *, min_revisit_bytes: int = 0) -> DataFram
     spark = pages.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     write_archives(pages, path, min_revisit_bytes=min_revisit_bytes)
-    number = lambda c: F.regexp_extract(F.col(c), r"^<urn:page:(-?\d+)>$", 1).cast("long")
     back = read_archives(spark, path, with_payload=False)
-    return back.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), F.when(F.col("refers").isNotNull(), number("refers")).alias("refers_to"))
+    return back.select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), F.col("refers_page").alias("refers_to"))

@@ -97,6 +97,41 @@ def quality(t):
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), dup, len(cover), len(w) < 20 or 100 * len(cover) > 30 * len(w)
 
 
+def fenced(rows, spread, lean):
+    """Names of the features beyond their fences, from exact quantiles of the rows (id, text, lang, source)."""
+    feats = {}
+    for i, t, _, _ in rows:
+        n, chars, symbols, dup, repeat, _ = quality(t)
+        lines = sum(bool(WORD.search(x)) for x in (t or "").split("\n"))
+        feats[i] = {"symbol_ratio": symbols / max(n, 1), "dup_line_ratio": dup / max(lines, 1), "repeat_ratio": repeat / max(n, 1), "word_length": chars / max(n, 1), "n": n, "lines": lines}
+
+    def quants(ids):
+        out = {}
+        for f in ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "word_length", "n"):
+            x = sorted(feats[i][f] for i in ids)
+            out[f] = [x[max(0, math.ceil(q * len(x)) - 1)] for q in (0.25, 0.5, 0.75)]
+        return out
+
+    def mean(own, k, wider):
+        return {f: [(k * a + lean * b) / (k + lean) for a, b in zip(own[f], wider[f], strict=True)] for f in own}
+
+    some = [(i, lang, source) for i, _, lang, source in rows if feats[i]["n"]]
+    corpus, out = quants([i for i, *_ in some]), {}
+    for i, _, lang, source in rows:
+        x, own = feats[i], [j for j, a, b in some if (a, b) == (lang, source)]
+        wide = [j for j, a, _ in some if a == lang]
+        q = mean(quants(own), len(own), mean(quants(wide), len(wide), corpus))
+        short = math.sqrt(max(1, q["n"][1] / max(x["n"], 1)))
+        bad = []
+        for f, noise, n in (("symbol_ratio", 0.04, x["n"]), ("dup_line_ratio", 0.04, x["lines"]), ("repeat_ratio", 0.32, x["n"]), ("word_length", 0, 1)):
+            low, mid, high = q[f]
+            above = x[f] - mid > spread * max((high - mid) * short, math.sqrt(noise / max(n, 1)))
+            below = f == "word_length" and mid - x[f] > spread * (mid - low) * short
+            bad += [f] * (above or below)
+        out[i] = ",".join(bad)
+    return out
+
+
 def warc(pages):
     groups = defaultdict(list)
     for i, h in pages:
@@ -196,3 +231,72 @@ def targets(sizes, weights=(5, 2, 1), cap=3):
             left -= out[s]
         open_ -= over
     return out
+
+
+def longest_matches(docs, items, size=13):
+    """Words of each document's longest run that stands in an item too, of a window's length at least."""
+    parts = defaultdict(list)
+    texts = [CODE_WORD.findall(lower(t)) for _, t in items]
+    for x in texts:
+        n = min(size, len(x))
+        for k in range(len(x) - n + 1 if n else 0):
+            parts[tuple(x[k : k + n])].append((x, k))
+    out = {}
+    for i, t in docs:
+        w, best = CODE_WORD.findall(lower(t)), 0
+        for n in {len(p) for p in parts}:
+            for p in range(len(w) - n + 1):
+                for x, k in parts.get(tuple(w[p : p + n]), ()):
+                    m = n
+                    while n == size and p + m < len(w) and k + m < len(x) and w[p + m] == x[k + m]:
+                        m += 1
+                    best = max(best, m)
+        out[i] = best
+    return out
+
+
+def _model(docs):
+    tokens = [(i, WORD.findall(lower(t)) + [None]) for i, t in docs]
+    held = [zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i, _ in docs]
+    one = Counter(x for (_, w), h in zip(tokens, held, strict=True) if not h for x in w)
+    two = Counter(p for (_, w), h in zip(tokens, held, strict=True) if not h for p in zip(["begin", *w], w))
+    context = one + Counter({"begin": sum(not h for h in held)})
+    context[None] = 0  # an end opens nothing
+    return tokens, held, one, two, context, sum(one.values()), len(one)
+
+
+def _level(c):
+    return int(math.log2(c)) + 1 if c > 0 else 0
+
+
+def mixture_scores(docs, lam):
+    """log10 probability by the interpolation with weights lam[bucket of the context's count]."""
+    tokens, _, one, two, context, n, v = _model(docs)
+    out = {}
+    for i, w in tokens:
+        total = 0.0
+        for h, x in zip(["begin", *w], w):
+            p1 = (one[x] + 0.1) / (n + 0.1 * (v + 1))
+            share = lam[_level(context[h])] if context[h] else 0.0
+            total += math.log10((share * two[h, x] / context[h] if share else 0.0) + (1 - share) * p1)
+        out[i] = total
+    return out
+
+
+def mixture_weights(docs, rounds=300):
+    """bucket -> weight by EM on every training token's deleted estimates, where a bucket has 50 tokens or more."""
+    tokens, held, one, two, context, n, v = _model(docs)
+    cases = defaultdict(list)
+    for (_, w), out in zip(tokens, held, strict=True):
+        if not out:
+            for h, x in zip(["begin", *w], w):
+                if context[h] > 1:
+                    cases[_level(context[h] - 1)].append(((two[h, x] - 1) / (context[h] - 1), (one[x] - 1 + 0.1) / (n - 1 + 0.1 * (v + 1))))
+    out = {}
+    for b, pairs in cases.items():
+        if len(pairs) >= 50:
+            lam = 0.5
+            for _ in range(rounds):
+                lam = min(1 - 1e-4, max(1e-4, sum(lam * p2 / (lam * p2 + (1 - lam) * p1) for p2, p1 in pairs) / len(pairs)))
+            out[b] = lam
+    return out

@@ -96,7 +96,29 @@ def test_quality(spark, rows, docs):
     assert quality.quality_verdicts(empty(spark)).count() == 0
     junk = [(i, " ".join(["word%d" % ((i + 1) * k) for k in range(30)]) + ("#|" * 60 if i == 7 else ""), None, None) for i in range(300)]
     got = by_id(quality.quality_verdicts(spark.createDataFrame(junk, "doc_id long, text string, lang string, source string")))
-    assert {i for i, r in got.items() if not r.kept} == {7} and got[7].outlier_in.startswith("symbol_ratio")
+    # fences lie on both sides: text 0 (word0 to word29) has by far the shortest words
+    assert {i: r.outlier_in.split(",")[0] for i, r in got.items() if not r.kept} == {0: "word_length", 7: "symbol_ratio"}
+
+
+def test_quality_fences_against_exact_quantiles(spark):
+    """kept by the method, with exact quantiles in place of sketches (which are exact up to 200 values)."""
+    r = random.Random(12)
+    rows = []
+    for i in range(400):
+        lang, source = r.choice([None, "en", "de"]), r.choice(["a", "b", None])
+        words = ["".join(r.choice(string.ascii_lowercase) for _ in range(max(1, round(r.gauss(5 + (lang == "de"), 1.5))))) for _ in range(r.choice([25, 60, 200, 400]))]
+        if i % 13 == 0:
+            words = [w * r.choice([1, 3]) for w in words]
+        if i % 17 == 0:
+            words = [w + r.choice(["", "#$", "|"]) for w in words]
+        if i % 19 == 0:
+            words = [w[:1] for w in words]
+        text = "\n".join(" ".join(words[k : k + 10]) for k in range(0, len(words), 10))
+        rows.append((i, text + ("\nsame line here" * 12 if i % 23 == 0 else ""), lang, source))
+    want = brute.fenced(rows, quality.SPREAD, quality.LEAN)
+    got = by_id(quality.quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")))
+    assert {i: x.outlier_in for i, x in got.items()} == want
+    assert {f for x in want.values() for f in x.split(",")} >= {"symbol_ratio", "dup_line_ratio", "word_length"}
 
 
 def test_warc(spark):
@@ -108,11 +130,21 @@ def test_warc(spark):
     assert warc.warc_round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_repeated_and_missing_ids(spark):
+    """Every row has records of its own: two of one id, whole and segmented, and rows without an id."""
+    big = "y" * 50_000
+    pages = [(1, "a"), (1, "a"), (1, "b"), (2, "b"), (3, big), (3, big), (3, big + "z"), (None, "c"), (None, "c"), (None, "a"), (None, None)]
+    df = spark.createDataFrame([(i, "u", h) for i, h in pages], "page_id long, url string, html string")
+    got = sorted(((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.warc_round_trip(df).collect()), key=str)
+    want = [(1, 1, "response", None), (1, 1, "revisit", 1), (1, 1, "revisit", 2), (2, 1, "response", None), (3, 50_000, "response", None), (3, 50_000, "revisit", 3), (3, 50_001, "response", None), (None, 1, "response", None), (None, 1, "revisit", None), (None, 1, "revisit", 1), (None, 0, "response", None)]
+    assert got == sorted(want, key=str)
+
+
 def test_warc_payloads_and_damage(spark, tmp_path):
     df = spark.createDataFrame([(1, "u", "abc" * 9000), (2, "u", "def")], "page_id long, url string, html string")
     warc.write_archives(df, str(tmp_path / "w"), segment_bytes=1000)
-    got = {r.record_id: bytes(r.payload).decode() for r in warc.read_archives(spark, str(tmp_path / "w")).collect()}
-    assert got == {"<urn:page:1>": "abc" * 9000, "<urn:page:2>": "def"}
+    got = {r.page: bytes(r.payload).decode() for r in warc.read_archives(spark, str(tmp_path / "w")).collect()}
+    assert got == {1: "abc" * 9000, 2: "def"}
     records = warc.records_of("1", "u", b"abc" * 9000, None, 1000)
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "x.warc").write_bytes(b"".join(r + b"\r\n\r\n" for r in [*records[:3], *records[4:]]))
@@ -175,6 +207,25 @@ def test_randomness_battery_adds_keys(spark):
     assert len(found & {i for i, _ in keys}) >= 15 and not found - {i for i, _ in keys}
 
 
+def test_randomness_battery_by_alphabet_and_length(spark):
+    """Recall on planted keys that the base doesn't match: mixed case, letters only, upper case, by length."""
+    r = random.Random(15)
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randrange(16, 70))) for _ in range(6000)]
+    rows = [(i, " ".join(words[i % 6000 :: 1500])) for i in range(1500)]
+    planted = []
+    for alphabet in (string.ascii_letters + string.digits, string.ascii_letters, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"):
+        for n in (24, 40, 64):
+            planted += [(alphabet, n, "".join(r.choice(alphabet) for _ in range(n))) for _ in range(20)]
+    rows += [(10_000 + k, f"see {key} end") for k, (*_, key) in enumerate(planted)]
+    got = by_id(secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")))
+    hits = [("random" in got[10_000 + k].spans) for k in range(len(planted))]
+    by = {}
+    for (a, n, _), h in zip(planted, hits, strict=True):
+        by.setdefault((len(a), n), []).append(h)
+    assert all(sum(h) >= 0.8 * len(h) for (_, n), h in by.items() if n >= 40), by
+    assert sum("random" in got[i].spans for i in range(1500)) <= 15
+
+
 def test_redact():
     assert secrets.redact("ab token=x cd", "assign:3:10") == "ab [ASSIGN] cd"
     assert secrets.redact("abcdef", "assign:0:4,hex:2:6") == "[ASSIGN]" and secrets.redact(None, "") is None
@@ -198,6 +249,35 @@ def test_personal_patterns_on_random_and_long_texts():
     assert personal.base_spans("x" * 300_000 + " a@b.c " + "1" * 300_000 + "." + "@" * 1000) == [("email", 300_001, 300_006)]
 
 
+def test_personal_method_finds_other_forms(spark):
+    """Recall of planted forms that no base pattern matches, and look-alikes left alone."""
+    r = random.Random(14)
+    digits = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    name = lambda: "".join(r.choice("abcdefghijklmnoprstu") for _ in range(r.randrange(4, 9)))
+
+    def card():
+        d = digits(15)
+        return next(d + c for c in "0123456789" if brute.luhn(d + c))
+
+    rows = []
+    for i in range(1200):
+        kind = i % 4
+        ip = ".".join(str(r.randrange(256)) for _ in range(4))
+        value = [f"{name()}.{name()}@{name()}.com", f"+1 ({r.randrange(200, 999)}) {digits(3)}-{digits(4)}", card(), ip][kind]
+        rows.append((i, f"{name()} {name()} {['mail', 'call', 'pay', 'from'][kind]} {value} {name()} {name()}"))
+    planted = []
+    for i in range(160):
+        c = card()
+        planted.append([f"{name()}.{name()} (at) {name()}.com", f"({r.randrange(200, 999)}) {digits(3)}-{digits(4)}", ".".join(c[k : k + 4] for k in range(0, 16, 4)), f"2001:db8:{digits(4)}:{digits(4)}:{digits(3)}:{digits(3)}"][i % 4])
+    plain = [f"19{i:02d}-{1 + i % 12:02d}-{1 + i % 28:02d}" for i in range(50)] + [f"{i % 24:02d}:{i % 60:02d}:{i % 50:02d}:{i % 40:02d}" for i in range(50)]
+    rows += [(10_000 + i, f"{name()} {['mail', 'call', 'pay', 'from'][i % 4]} {x} {name()}") for i, x in enumerate(planted)]
+    rows += [(20_000 + i, f"{name()} on {x} {name()}") for i, x in enumerate(plain)]
+    got = by_id(personal.personal_spans(spark.createDataFrame(rows, "doc_id long, text string")))
+    found = sum(got[10_000 + i].n_other > 0 for i in range(len(planted)))
+    wrong = sum(got[20_000 + i].n_other > 0 for i in range(len(plain)))
+    assert found >= 0.9 * len(planted) and wrong <= 2, (found, wrong)
+
+
 def test_boosted_trees_hold_out():
     import numpy as np
 
@@ -216,10 +296,22 @@ def test_scores(spark, rows, docs):
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held, n, known, total)
         assert r.base_score == pytest.approx(base, rel=1e-9)
         gain += (r.score - r.base_score) if held else 0
+        assert r.score_per_token == pytest.approx(r.score / n) and r.gain_per_token == pytest.approx((r.score - r.base_score) / n)
     assert gain > 0  # the mixture predicts held-out texts better than its base
     assert scoring.score_documents(empty(spark)).count() == 0
 
 
+def test_scores_equal_the_exact_mixture(spark, rows, docs, monkeypatch):
+    """score against a plain model that has the same mixture weights, within the stored ratios' steps."""
+    seen, em = [], scoring.weights_by_em
+    monkeypatch.setattr(scoring, "weights_by_em", lambda hist: seen.append(em(hist)) or seen[-1])
+    got = by_id(scoring.score_documents(docs))
+    want = brute.mixture_scores(rows, seen[-1])
+    assert all(abs(got[i].score - x) <= 2.3e-4 * got[i].n_tokens for i, x in want.items())
+    weights = brute.mixture_weights(rows)  # EM on the deleted ratios themselves, not on a histogram
+    assert all(abs(seen[-1][b] - w) < 0.03 for b, w in weights.items()) and len(weights) > 3
+
+
 def test_em_finds_the_mixture():
     import numpy as np
 
@@ -238,11 +330,24 @@ def test_contamination(spark, rows, docs):
     for blocks in (16_000_000, 300):
         got = by_id(decontaminate.contamination(docs, bench, block_bytes=blocks))
         assert {i: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for i, r in got.items()} == want
+        assert {i: r.longest_match for i, r in got.items()} == brute.longest_matches(rows, items)
     assert any(x[4] for x in want.values())
     assert decontaminate.contamination(empty(spark), bench).count() == 0
     assert not any(r.contaminated for r in decontaminate.contamination(docs, bench.limit(0)).collect())
 
 
+def test_contamination_without_or_with_the_same_ids(spark):
+    """One block and many give the same rows, one a document, for missing and repeated ids."""
+    words = lambda tag, n: " ".join(f"{tag}{k}" for k in range(n))
+    items = [(None, words("p", 20)), (1, words("p", 20) + " more"), (1, words("q", 15)), (2, words("r", 30)), (3, "short item")]
+    rows = [(None, "x " + words("p", 20)), (None, "clean"), (7, words("q", 15) + " y " + words("r", 14)), (7, "a short item"), (7, None), (8, words("p", 19) + " " + words("p", 14))]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one, many = (sorted(map(str, decontaminate.contamination(docs, bench, block_bytes=b).collect())) for b in (10**6, 100))
+    assert one == many and len(one) == len(rows)
+    got = {(r.doc_id, r.n_words): (r.n_hit, r.n_items, r.longest_match, r.match_word, r.contaminated) for r in decontaminate.contamination(docs, bench).collect()}
+    assert got == {(None, 21): (20, 1, 20, 1, True), (None, 1): (0, 0, 0, None, False), (7, 30): (29, 2, 15, 0, True), (7, 3): (2, 1, 2, 1, True), (7, 0): (0, 0, 0, None, False), (8, 33): (33, 1, 19, 0, True)}
+
+
 def test_mixing(spark, rows):
     r = random.Random(6)
     full = [(i, t, [None, "a", "b", "c", "d"][r.choice([0, 1, 1, 1, 1, 2, 3, 4])]) for i, t in rows]
