@@ -13,14 +13,13 @@ docs. All but the last return the columns of documents.
 
 Rows that share a doc_id share their fate in stages 1 to 3 (an id is rejected
 if any of its rows is); rows without an id are judged by what they hold in
-stages 1 and 3 and kept by stage 2, whose choice goes by id; stage 4 goes by
-the text of a row, whatever its id; an empty table gives an empty result; columns beside doc_id,
+stages 1 and 3 and kept by stage 2, whose choice goes by id (of several rows of one id the
+least by its other columns stays); stage 4 redacts every row in place, whatever its id; an empty table gives an empty result; columns beside doc_id,
 text, lang and source pass through, and n_chars follows the redacted text.
 """
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quern.llm import decontaminate, mixing, quality, secrets, setjoin
@@ -48,11 +47,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = setjoin.document_components(docs)
     out = _without(docs, groups.where("component_id <> doc_id").select("doc_id"))
-    # rows that share an id are one node; one of them stays
+    # rows that share an id are one node; the least of them stays
     again = saved(groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if again.isEmpty():
         return out
-    return _without(out, again).unionByName(out.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    rest = [c for c in docs.columns if c != "doc_id"]
+    least = out.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
+    return _without(out, again).unionByName(least.select("doc_id", *(F.col("row").getField(c).alias(c) for c in rest)))
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,25 +62,7 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # spans follow from the text alone: they come back by its hash, so that null and repeated ids get their own
-    own = F.xxhash64("text")
-    found = secrets.secret_spans(docs.withColumn("doc_id", own)).where("spans <> ''").select(F.col("doc_id").alias("text_hash"), "spans").dropDuplicates(["text_hash"])
-
-    names = docs.columns
-
-    def run(batches):
-        for b in batches:
-            texts = [secrets.redact(t, s) for t, s in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True)]
-            i = b.schema.get_field_index("text")
-            out = b.set_column(i, "text", pa.array(texts, pa.string()))
-            j = out.schema.get_field_index("n_chars")
-            if j >= 0:
-                out = out.set_column(j, "n_chars", pa.array([None if t is None else len(t) for t in texts], pa.int64()))
-            yield out.select(names)
-
-    touched = docs.join(found, own == F.col("text_hash")).select(*docs.columns, "spans")
-    schema = docs.schema if "n_chars" not in docs.columns else docs.withColumn("n_chars", F.lit(0).cast("long")).schema
-    return docs.join(found, own == F.col("text_hash"), "left_anti").unionByName(touched.mapInArrow(run, schema))
+    return secrets.redact_documents(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
