@@ -763,3 +763,6 @@ def profile_facts(spark, d):
 @query("narrative")
 def narrative(spark, d):
     return E.narrative(_screen_rows(spark, d)).select("organisation_number", "summary")
+
+
+from . import registers  # noqa: E402,F401  adds its queries
