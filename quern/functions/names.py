@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import difflib
+import re
+import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
@@ -66,6 +68,29 @@ def domain_slugs(name: Column) -> Column:
     return F.when(F.size(words) > 0, F.array_distinct(F.transform(every, lambda s: F.concat(s, F.lit(".no"))))).otherwise(F.array().cast("array<string>"))
 
 
+@F.pandas_udf("array<string>")
+def domain_labels(name: pd.Series) -> pd.Series:
+    """Candidate domain labels (IDNA): folded and unfolded words, joined and hyphenated, then the first with as and -as."""
+    def one(x):
+        bare = " ".join(re.sub(r"\b(?:AS|ASA|ANS|DA|ENK|NUF|SA)\b", " ", x or "", flags=re.I).split())
+        folded = bare.translate(str.maketrans({"æ": "ae", "ø": "o", "å": "a", "Æ": "AE", "Ø": "O", "Å": "A"}))
+        out: list[str] = []
+        for t in (unicodedata.normalize("NFKD", folded).encode("ascii", "ignore").decode().casefold(), bare.casefold()):
+            words = re.findall(r"[^\W_]+", t)
+            if any(len(w) > 1 for w in words):
+                pair = ["".join(words), "-".join(words)]
+                for label in reversed(pair) if re.search(r"\w-\w", t) else pair:
+                    try:
+                        code = label.encode("idna").decode()
+                    except UnicodeError:
+                        continue
+                    if 3 <= len(label) and len(code) <= 63 and code not in out:
+                        out.append(code)
+        return out + [out[0] + s for s in ("as", "-as") if len(out[0] + s) <= 63 and out[0] + s not in out] if out else out
+
+    return name.map(one)
+
+
 def homepage(value: Column) -> Column:
     """scheme://authority/path of an HTTP(S) address; a missing scheme is https."""
     v = F.trim(value)

@@ -42,9 +42,35 @@ def overlap_ratio(a: Column, b: Column) -> Column:
 
 
 def org_numbers(col: Column) -> Column:
-    """Distinct 9-digit numbers, also written 3-3-3."""
-    found = F.regexp_extract_all(F.coalesce(col, F.lit("")), F.lit(r"(?<![0-9])([0-9]{3}[ .]?[0-9]{3}[ .]?[0-9]{3})(?![0-9])"), F.lit(1))
-    return F.array_distinct(F.transform(found, lambda x: F.regexp_replace(x, "[^0-9]", "")))
+    """Distinct 9-digit numbers, also written 3-3-3 with blanks, dots or dashes, and after NO, MVA or Org.nr."""
+    t = F.coalesce(col, F.lit(""))
+    plain = F.regexp_extract_all(t, F.lit("(?<![0-9])([0-9]{3}[\\s.\u00a0-]*[0-9]{3}[\\s.\u00a0-]*[0-9]{3})(?![0-9])"), F.lit(1))
+    marked = F.regexp_extract_all(t, F.lit("(?i)(?:NO|MVA|ORG\\.?NR\\.?|ORG\\.?)\\s*:?\\s*([0-9]{3}[\\s.\u00a0-]*[0-9]{3}[\\s.\u00a0-]*[0-9]{3})\\b"), F.lit(1))
+    return F.array_distinct(F.transform(F.concat(plain, marked), lambda x: F.regexp_replace(x, "[^0-9]", "")))
+
+
+def plain_tokens(col: Column) -> Column:
+    """Tokens with æ, ø and å folded only: three letters or more, or numbers, without legal words."""
+    t = F.translate(F.replace(F.lower(F.coalesce(col, F.lit(""))), F.lit("æ"), F.lit("ae")), "øå", "oa")
+    found = F.regexp_extract_all(t, F.lit("([a-z0-9]+)"), F.lit(1))
+    return F.filter(found, lambda x: ~x.isin(*LEGAL_WORDS) & ((F.length(x) >= 3) | x.rlike("^[0-9]+$")))
+
+
+#: Fixed pattern of a legal entity's name.
+LEGAL_ENTITY = "(?i)(?:[A-Za-zÆØÅæøå][A-Za-zÆØÅæøå&.'’\\- ]{1,80})\\s+(?:AS|ASA|ANS|DA|ENK|NUF)\\b"
+
+
+def legal_mentions(col: Column) -> Column:
+    """Distinct names of legal entities in a text, as joined tokens, sorted."""
+    found = F.regexp_extract_all(F.coalesce(col, F.lit("")), F.lit("(" + LEGAL_ENTITY + ")"), F.lit(1))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(found, lambda x: F.array_join(tokens(x), " ")), lambda x: x != "")))
+
+
+def search_query(name: Column, number: Column, municipality: Column) -> Column:
+    """Quoted name, number and place; null without a name or number."""
+    tidy = lambda c: F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " "))
+    n, o, m = tidy(name), F.regexp_replace(F.coalesce(number, F.lit("")), "[^0-9]", ""), tidy(municipality)
+    return F.when((n != "") & (o != ""), F.concat(F.lit('"'), n, F.lit('" '), o, F.when(m != "", F.concat(F.lit(" "), m)).otherwise("")))
 
 
 def headline_flags(title: Column) -> Column:

@@ -25,6 +25,11 @@ def join_or_raise(left: DataFrame, right: DataFrame, key: str, what: str) -> Dat
     return j.withColumn(key, F.when(F.col("_found").isNull(), F.raise_error(message)).otherwise(F.col(key))).drop("_found")
 
 
+def unknown_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Keys of left that right doesn't have."""
+    return left.select(key).distinct().join(right.select(key), key, "left_anti")
+
+
 def same_members(a: DataFrame, b: DataFrame, key: str) -> bool:
     one_sided = a.select(key).distinct().join(b.select(key).distinct().withColumnRenamed(key, "_k"), F.col(key).eqNullSafe(F.col("_k")), "full_outer").where(F.col(key).isNull() | F.col("_k").isNull())
     return one_sided.isEmpty()

@@ -765,4 +765,4 @@ def narrative(spark, d):
     return E.narrative(_screen_rows(spark, d)).select("organisation_number", "summary")
 
 
-from . import registers  # noqa: E402,F401  adds its queries
+from . import functions, registers  # noqa: E402,F401  add their queries

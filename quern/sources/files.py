@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gzip
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 #: Fixed header spellings of the registry (first non-empty one wins).
 REGISTRY_HEADERS = {
@@ -87,18 +87,30 @@ def clean_number(col: Column, position: Column) -> Column:
     return F.when(F.length(digits) == 9, digits).when(F.trim(F.coalesce(col, F.lit(""))) == "", F.concat(F.lit("input_"), position)).otherwise(F.trim(col))
 
 
+def _numbered(lines: DataFrame) -> DataFrame:
+    """lines with their place 0, 1, ...: the lines of each read task are counted first."""
+    each = lines.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    sizes = each.groupBy("_part").agg(F.count("*").alias("n"), F.min("_at").alias("first"))
+    one = W.partitionBy(F.lit(1)).orderBy("_part")  # one row a task
+    ahead = sizes.select("_part", "first", (F.sum("n").over(one) - F.col("n")).alias("ahead"))
+    # lines that a filter drops leave gaps in _at, so places are counted within the task
+    place = F.row_number().over(W.partitionBy("_part").orderBy("_at")) - 1
+    return each.join(ahead, "_part").select("value", (F.col("ahead") + place).alias("position"))
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """(position, organisation_number) of .json, .jsonl or .txt manifests; a
+    """(position from 1, organisation_number) of .json, .jsonl or .txt manifests; a
     repeated number raises an error when the rows are read."""
     if path.endswith(".json"):
         whole = spark.read.text(path, wholetext=True)
         listed = F.coalesce(F.from_json("value", "organisation_numbers array<string>")["organisation_numbers"], F.from_json("value", "array<string>"))
         rows = whole.select(F.posexplode(listed).alias("position", "given"))
     else:
-        lines = spark.read.text(path).where(F.trim("value") != "").withColumn("position", F.monotonically_increasing_id())
+        lines = _numbered(spark.read.text(path).where(F.trim("value") != ""))
         keys = F.coalesce(*(F.get_json_object("value", f"$.{k}") for k in MANIFEST_KEYS))
         rows = lines.select("position", F.when(F.ltrim("value").startswith("{"), keys).otherwise(F.trim("value")).alias("given"))
-    rows = rows.select("position", clean_number(F.col("given"), F.col("position") + 1).alias("organisation_number"))
+    rows = rows.withColumn("position", F.col("position").cast("long"))
+    rows = rows.select((F.col("position") + 1).alias("position"), clean_number(F.col("given"), F.col("position") + 1).alias("organisation_number"))
     times = F.count("*").over(W.partitionBy("organisation_number"))
     return rows.withColumn("organisation_number", F.when(times > 1, F.raise_error(F.concat(F.lit("repeated organisation number "), F.col("organisation_number")))).otherwise(F.col("organisation_number")))
 
@@ -117,7 +129,8 @@ def append_attempts(df: DataFrame, path: str) -> None:
 
 
 def read_attempts(spark: SparkSession, path: str, *, organisation: str | None = None, run: str | None = None, route: str | None = None) -> DataFrame:
-    df = spark.read.schema(spark.read.parquet(path).schema).parquet(path)
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "organisation_number" else f.dataType) for f in spark.read.parquet(path).schema])
+    df = spark.read.schema(schema).parquet(path)  # the partition column stays text: leading zeros count
     for name, value in (("organisation_number", organisation), ("run_id", run), ("route", route)):
         if value is not None:
             df = df.where(F.col(name).cast("string") == value)
@@ -130,6 +143,12 @@ def serve_snapshot(requests: DataFrame, responses: DataFrame) -> DataFrame:
     return requests.join(r, "url", "left").select(requests["*"], F.coalesce("status", F.lit(0)).alias("status"), "body", F.sha2(F.col("body").cast("binary"), 256).alias("content_sha256"), "retrieved_at")
 
 
+def text_digest(content: Column) -> Column:
+    """sha256 of a file's bytes with CRLF line ends read as LF."""
+    single = F.decode(content, "ISO-8859-1")  # a character a byte
+    return F.sha2(F.encode(F.replace(single, F.lit("\r\n"), F.lit("\n")), "ISO-8859-1"), 256)
+
+
 def fetch_state(status: Column) -> Column:
     """How an official module classifies a response."""
     return F.when(status == 200, "available").when(status.isin(404, 410), "not_found").when(status.isin(401, 403, 429), "blocked").otherwise("source_error")

@@ -9,6 +9,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share; a temporary one only where none is set."""
+    import tempfile
+
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        path = "file://" + tempfile.mkdtemp(prefix="quern-")
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path.rstrip("/")
+
+
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Companies: customers, with their nation as municipality. Nations are a
     dimension of fixed size; Catalyst broadcasts it by its own size estimate."""
