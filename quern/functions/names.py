@@ -8,7 +8,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from . import text as T, urls as U
 
@@ -68,7 +68,7 @@ def domain_slugs(name: Column) -> Column:
     return F.when(F.size(words) > 0, F.array_distinct(F.transform(every, lambda s: F.concat(s, F.lit(".no"))))).otherwise(F.array().cast("array<string>"))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def domain_labels(name: pd.Series) -> pd.Series:
     """Candidate domain labels (IDNA): folded and unfolded words, joined and hyphenated, then the first with as and -as."""
     def one(x):

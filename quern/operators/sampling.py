@@ -77,10 +77,15 @@ def chunks(df: DataFrame, key: str, size: int) -> DataFrame:
     return parts.join(F.broadcast(ahead), "_part").withColumn("chunk", F.floor((F.col("ahead") + F.row_number().over(w) - 1) / size)).drop("_part", "ahead")
 
 
-def registry_stratum() -> Column:
+def registry_stratum(state: bool = False) -> Column:
+    """Form, employee band, state of affairs (where asked for) and web presence."""
     form = F.when(F.col("legal_form").isin("AS", "ASA", "ENK"), F.col("legal_form")).otherwise("OTHER")
-    return F.concat_ws("|", form, employee_band(F.col("employees")), F.when(F.col("website"), "web").otherwise("no-web"))
+    adverse = [F.when(F.col("bankrupt") | F.col("liquidating"), "adverse").otherwise("active")] if state else []
+    return F.concat_ws("|", form, employee_band(F.col("employees")), *adverse, F.when(F.col("website"), "web").otherwise("no-web"))
 
 
 def financial_stratum() -> Column:
-    return F.concat_ws("|", F.coalesce("legal_form", F.lit("missing")), employee_band(F.col("employees")), F.coalesce("industry_label", F.lit("missing")), F.coalesce(F.col("municipality_number").cast("string"), F.lit("missing")), F.when(F.col("website"), "web").otherwise("no-web"))
+    """Form, employee band, industry division (before the dot), first two characters of the municipality number, web presence."""
+    text = lambda c: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit("missing"))
+    division, place = F.substring_index(text("industry_code"), ".", 1), F.substring(text("municipality_number"), 1, 2)
+    return F.concat_ws("|", text("legal_form"), employee_band(F.col("employees")), division, place, F.when(F.col("website"), "web").otherwise("no-web"))

@@ -215,7 +215,7 @@ def membership_digest(spark, d):
 
 @query("stratum_counts", f"WITH {PROFILES} SELECT concat_ws('|', coalesce(legal_form, 'missing'), {BAND}, coalesce(industry_label, 'missing'), coalesce(municipality_number::VARCHAR, 'missing'), CASE WHEN website THEN 'web' ELSE 'no-web' END) AS stratum, count(*) AS n FROM p GROUP BY 1")
 def stratum_counts(spark, d):
-    return profiles(spark, d).groupBy(S.financial_stratum().alias("stratum")).agg(F.count("*").alias("n"))
+    return profiles(spark, d).withColumn("industry_code", F.col("industry_label")).groupBy(S.financial_stratum().alias("stratum")).agg(F.count("*").alias("n"))
 
 
 @query("obs_reasons", f"WITH {OBS} SELECT event_id, array_to_string(reasons, '; ') AS reasons, len(reasons) = 0 AS publishable FROM r")
@@ -765,4 +765,4 @@ def narrative(spark, d):
     return E.narrative(_screen_rows(spark, d)).select("organisation_number", "summary")
 
 
-from . import functions, registers  # noqa: E402,F401  add their queries
+from . import extended, functions, registers  # noqa: E402,F401  add their queries
