@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, functions as F
 
 #: Fixed legal words that name tokens leave out.
 LEGAL_WORDS = ("as", "asa", "sa", "ba", "da", "ans", "enk", "nuf", "sti")
-#: Fixed accent folding (Latin letters met in names; æ becomes ae).
-ACCENTS, PLAIN = "øåéèêëáàâäãíìîïóòôöõúùûüçñý", "oaeeeeaaaaaiiiiooooouuuucny"
+#: Accent folding: ø and å by rule of the names, all other lower-case Latin letters to the
+#: letter they decompose to (æ becomes ae before).
+_LATIN = [chr(c) for r in (range(0xE0, 0x250), range(0x1E00, 0x1F00)) for c in r if chr(c) == chr(c).lower() and chr(c) not in "øå"]
+_BASE = {c: unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode() for c in _LATIN}
+ACCENTS = "øå" + "".join(c for c, b in _BASE.items() if len(b) == 1)
+PLAIN = "oa" + "".join(b for b in _BASE.values() if len(b) == 1)
 #: Fixed headline phrases.
 CLICKBAIT = (
     r"\bdu vil ikke tro\b", r"\bsjokk(?:erend|ert|)\b", r"\bavslørt\b", r"\bhemmelig(?:het|)\b", r"\bderfor raser\b", r"\bher er trikset\b", r"\bkatastrofe\b", r"\bpanikk\b",
@@ -19,11 +25,10 @@ def folded(col: Column) -> Column:
     return F.translate(F.replace(F.lower(col), F.lit("æ"), F.lit("ae")), ACCENTS, PLAIN)
 
 
-def tokens(col: Column, *, keep_legal: bool = False, min_length: int = 2) -> Column:
-    """Folded [a-z0-9]+ tokens; null gives an empty array."""
-    found = F.regexp_extract_all(folded(F.coalesce(col, F.lit(""))), F.lit("([a-z0-9]+)"), F.lit(1))
-    keep = lambda t: (F.length(t) >= min_length) & (F.lit(keep_legal) | ~t.isin(*LEGAL_WORDS))
-    return F.filter(found, keep)
+def tokens(col: Column, *, keep_legal: bool = False, min_length: int = 2, drop: tuple[str, ...] = LEGAL_WORDS) -> Column:
+    """Folded [a-z0-9]+ tokens of min_length or more, without the words of drop; null gives an empty array."""
+    found = F.regexp_extract_all(folded(F.coalesce(col, F.lit(""))), F.lit(f"([a-z0-9]{{{min_length},}})"), F.lit(1))
+    return found if keep_legal else F.filter(found, lambda t: ~t.isin(*drop))
 
 
 def spaced(toks: Column) -> Column:

@@ -765,4 +765,4 @@ def narrative(spark, d):
     return E.narrative(_screen_rows(spark, d)).select("organisation_number", "summary")
 
 
-from . import extended, functions, registers  # noqa: E402,F401  add their queries
+from . import extended, functions, identities, registers  # noqa: E402,F401  add their queries
