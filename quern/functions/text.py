@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 #: Fixed legal words that name tokens leave out.
 LEGAL_WORDS = ("as", "asa", "sa", "ba", "da", "ans", "enk", "nuf", "sti")
@@ -65,10 +68,48 @@ def plain_tokens(col: Column) -> Column:
 LEGAL_ENTITY = "(?i)(?:[A-Za-zÆØÅæøå][A-Za-zÆØÅæøå&.'’\\- ]{1,80})\\s+(?:AS|ASA|ANS|DA|ENK|NUF)\\b"
 
 
+_FORM = re.compile(r"\s+(?:AS|ASA|ANS|DA|ENK|NUF)\b", re.I)
+_CLASS = "A-Za-zÆØÅæøåı&.'’\\- ſK"  # as the pattern's class matches when case is ignored
+_TAIL, _LETTER = re.compile(rf"[{_CLASS}]*\Z"), re.compile("[A-Za-zÆØÅæøåıſK]")
+
+
+def entities_in(text: str | None) -> list[str]:
+    """All matches of LEGAL_ENTITY from left to right, found from the legal forms backwards: the
+    pattern itself tries 80 characters from every letter of a text."""
+    out, pos = [], 0
+    forms = [(m.start(), m.end()) for m in _FORM.finditer(text or "")]
+    for i, (space, _) in enumerate(forms):
+        # the body may take in blanks before the form's own one
+        last = space
+        while last + 1 < forms[i][1] and text[last] == " " and text[last + 1].isspace():
+            last += 1
+        low = max(pos, space - 81)
+        run = low + _TAIL.search(text[low:space]).start()
+        first = _LETTER.search(text, run, space)
+        if not first or last - first.start() < 2:
+            continue
+        start, end = first.start(), None
+        for e, z in forms[i:]:
+            if e - start > 81:
+                break
+            if e - start >= 2 and not re.search(rf"[^{_CLASS}]", text[start:e]) or (e, z) == forms[i]:
+                end = z
+        out.append(" ".join(text[start:end].split("\n")) if "\n" in text[start:end] else text[start:end])
+        pos = end
+    return out
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _entities(text: pd.Series) -> pd.Series:
+    return text.map(entities_in)
+
+
 def legal_mentions(col: Column) -> Column:
     """Distinct names of legal entities in a text, as joined tokens, sorted."""
-    found = F.regexp_extract_all(F.coalesce(col, F.lit("")), F.lit("(" + LEGAL_ENTITY + ")"), F.lit(1))
-    return F.array_sort(F.array_distinct(F.filter(F.transform(found, lambda x: F.array_join(tokens(x), " ")), lambda x: x != "")))
+    # all names of a text are folded and cut to tokens in one go; a line break parts them
+    lines = F.split(folded(F.array_join(_entities(col), "\n")), "\n")
+    words = F.transform(lines, lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, "[^a-z0-9]+", " "), rf"(?<![a-z0-9])(?:[a-z0-9]|{'|'.join(LEGAL_WORDS)})(?![a-z0-9])", "")))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(words, lambda x: F.regexp_replace(x, " +", " ")), lambda x: x != "")))
 
 
 def search_query(name: Column, number: Column, municipality: Column) -> Column:

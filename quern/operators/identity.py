@@ -128,7 +128,7 @@ def website_ladder(rows: DataFrame) -> DataFrame:
     for rule, value in ladder:
         score = score.when(rule, value)
     d = d.withColumn("ratio", ratio).withColumn("score", score.otherwise(0.3))
-    group = any_in(c("_low"), GROUP_PHRASES) | F.exists("other_entities", lambda e: F.arrays_overlap(F.split(e, " "), F.when(F.size("_brand") > 0, c("_brand")).otherwise(c("_core"))) & any_in(F.concat(e, F.lit(" "), c("_low")), GROUP_WORDS))
+    group = any_in(c("_low"), GROUP_PHRASES) | (any_in(c("_low"), GROUP_WORDS) & F.arrays_overlap(F.flatten(F.transform("other_entities", lambda e: F.split(e, " "))), F.when(F.size("_brand") > 0, c("_brand")).otherwise(c("_core"))))
     housing = c("_coop") & c("_housing")
     relationship = (
         F.when(c("score") == 0.0, "unrelated_or_confuser").when((c("score") >= 0.9) & housing, "housing_management_portal").when(c("score") >= 0.9, "exact_legal_entity").when(group, "corporate_group_parent").when(housing, "housing_management_portal")
