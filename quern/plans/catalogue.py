@@ -398,10 +398,11 @@ def validate_batch(spark, d):
     return C.validate(c, "id", "availability")
 
 
-@query("token_overlap", f"WITH t AS (SELECT doc_id, {sql_tokens('text')} AS a, {sql_tokens('source || lang')} AS b FROM documents) SELECT doc_id, len(a) AS tokens, len(list_distinct(a)) AS distinct_tokens FROM t")
+@query("token_overlap", f"WITH t AS (SELECT doc_id, {sql_tokens('text')} AS a, {sql_tokens('substr(text, 1 + length(text) // 2)')} AS b FROM documents) SELECT doc_id, len(a) AS tokens, round(CASE WHEN len(b) = 0 THEN 0.0 ELSE len(list_intersect(list_distinct(b), list_slice(a, 1, 50))) / len(list_distinct(b)) END, 6) AS overlap FROM t")
 def token_overlap(spark, d):
-    x = table(spark, d, "documents").select("doc_id", T.tokens(F.col("text")).alias("a"))
-    return x.select("doc_id", F.size("a").cast("long").alias("tokens"), F.size(F.array_distinct("a")).cast("long").alias("distinct_tokens"))
+    half = F.expr("substr(text, 1 + cast(length(text) div 2 as int))")
+    x = table(spark, d, "documents").select("doc_id", T.tokens(F.col("text")).alias("a"), T.tokens(half).alias("b"))
+    return x.select("doc_id", F.size("a").cast("long").alias("tokens"), F.round(T.overlap_ratio(F.col("b"), F.slice("a", 1, 50)), 6).alias("overlap"))
 
 
 @query("name_in_text", f"WITH b AS (SELECT item_id, {sql_tokens('text')} AS w FROM benchmark), n AS (SELECT item_id, list_slice(w, 1, 3) AS name, w FROM b) SELECT item_id, len(name) > 0 AND contains(' ' || array_to_string(w, ' ') || ' ', ' ' || array_to_string(name, ' ') || ' ') AS hit, round(CASE WHEN len(list_distinct(name)) = 0 THEN 0.0 ELSE len(list_intersect(name, list_slice(w, 3, 10))) / len(list_distinct(name)) END, 6) AS overlap FROM n")
@@ -432,15 +433,22 @@ def html_title_links(spark, d):
     return table(spark, d, "pages").select("page_id", H.title(F.col("html")).alias("title"), F.size(H.links(F.col("html"))).cast("long").alias("links"))
 
 
-@query("html_shell")
+VISIBLE = r"trim(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+@query("html_shell", rf"""SELECT page_id, length({VISIBLE}) < 100 AND len(regexp_extract_all(coalesce(html, ''), '(?i)<script[^>]+src')) >= 2 AS shell, concat_ws(',', CASE WHEN contains(lower(html), 'wp-content') THEN 'wordpress' END, CASE WHEN contains(lower(html), 'cdn.shopify.com') THEN 'shopify' END,
+ CASE WHEN contains(lower(html), 'static.wixstatic.com') THEN 'wix' END, CASE WHEN contains(lower(html), 'data-reactroot') THEN 'react' END, CASE WHEN contains(lower(html), 'google-analytics.com') THEN 'google_analytics' END, CASE WHEN contains(lower(html), 'googletagmanager.com') THEN 'gtm' END) AS technologies FROM pages""")
 def html_shell(spark, d):
     p = table(spark, d, "pages")
     return p.select("page_id", H.is_shell(F.col("html")).alias("shell"), F.array_join(H.technologies(F.col("html")), ",").alias("technologies"))
 
 
-@query("json_ld_organisations")
+@query("json_ld_organisations", "SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN c_name || '|Child ' || c_custkey WHEN 1 THEN 'Shop ' || c_custkey ELSE '' END AS names FROM customer")
 def json_ld_organisations(spark, d):
-    return H.json_ld_organisations(table(spark, d, "pages"), "page_id").select("page_id", F.array_join("names", "|").alias("names"))
+    html = """CASE c_custkey % 3 WHEN 0 THEN concat('<script type="application/ld+json">{"@type":"Organization","name":"', c_name, '","subOrganization":{"@type":["NGO","Thing"],"name":"Child ', c_custkey, '"}}</script>')
+        WHEN 1 THEN concat('<script type="application/ld+json">not json</script><script type="application/ld+json">[{"@graph":[{"@type":"LocalBusiness","name":"Shop ', c_custkey, '"},{"@type":"Person","name":"x"}]}]</script>') ELSE '<p>none</p>' END"""
+    c = table(spark, d, "customer").select("c_custkey", F.expr(html).alias("html"))
+    return H.json_ld_organisations(c, "c_custkey").select("c_custkey", F.array_join("names", "|").alias("names"))
 
 
 @query("headline_flags", r"""WITH t AS (SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title>', 1)) AS t FROM pages)
@@ -450,18 +458,6 @@ def headline_flags(spark, d):
     return table(spark, d, "pages").select("page_id", F.array_join(T.headline_flags(H.title(F.col("html"))), ",").alias("flags"))
 
 
-def _news(spark, d):
-    p = table(spark, d, "pages")
-    title = H.title(F.col("html"))
-    return p.select("page_id", title.alias("title"), F.lit("").alias("publisher"), "url", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 900).cast("int") * -1).alias("published_at"), F.array_join(F.slice(F.split(title, " "), 1, 2), " ").alias("name"))
-
-
-@query("credibility_score")
-def credibility_score(spark, d):
-    out = I.news_credibility(_news(spark, d), F.lit("2024-01-10").cast("date"))
-    return out.select("page_id", "domain", "match", "score", "tier", "publishable")
-
-
 @query("identity_ladder")
 def identity_ladder(spark, d):
     p = table(spark, d, "pages")
@@ -680,7 +676,7 @@ def confuser_containment(spark, d):
     return V.confusers_in(t, f, "key")
 
 
-@query("sequence_ratio")
+@query("sequence_ratio", "SELECT s_suppkey, round(2.0::DOUBLE * (8 + length(s_suppkey::VARCHAR)) / (length(s_name) + 9 + length(s_suppkey::VARCHAR)), 6) AS ratio FROM supplier")
 def sequence_ratio(spark, d):
     s = table(spark, d, "supplier")
     return s.select("s_suppkey", F.round(N.sequence_ratio("s_name", F.concat(F.lit("Supplier "), F.col("s_suppkey"))), 6).alias("ratio"))
@@ -705,7 +701,7 @@ def vacancy_match(spark, d):
     return J.match_vacancies(ads, s, s.select((F.col("org") + 1000).alias("subunit"), "org"), F.lit("1998-06-01").cast("date"))
 
 
-@query("workforce_phrases")
+@query("workforce_phrases", "SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN c_custkey % 50 ELSE c_custkey % 90 END::DOUBLE AS workforce FROM customer")
 def workforce_phrases(spark, d):
     c = table(spark, d, "customer")
     k = F.col("c_custkey")
@@ -713,7 +709,8 @@ def workforce_phrases(spark, d):
     return J.workforce(c.select("c_custkey", text.alias("text")), "c_custkey")
 
 
-@query("hiring_signals")
+@query("hiring_signals", rf"""WITH t AS (SELECT page_id, url || '/careers/' AS url, trim(regexp_extract(coalesce(html, ''), '(?is)<title[^>]*>([^<]*)</title>', 1)) || chr(10) || {VISIBLE} || ' We are hiring now' AS s FROM pages WHERE page_id % 3 = 0 AND NOT regexp_matches(url, '[?#]')), a AS (SELECT *, strpos(s, 'We are hiring') AS p FROM t)
+SELECT page_id, url, trim(substr(s, greatest(1, p - 35), p - greatest(1, p - 35) + 13 + 65)) AS claim_span FROM a""")
 def hiring_signals(spark, d):
     p = table(spark, d, "pages").select("page_id", F.concat("url", F.lit("/careers/")).alias("url"), H.title(F.col("html")).alias("title"), F.concat(H.visible_text(F.col("html")), F.when(F.col("page_id") % 3 == 0, F.lit(" We are hiring now")).otherwise(F.lit(""))).alias("text"))
     return J.signals(p, "page_id")
@@ -760,9 +757,10 @@ def profile_facts(spark, d):
     return E.facts(p, "organisation_number", {"Registered name": "name", "Legal form": "legal_form", "Municipality": "municipality", "Registry employee count": "employees", "Revenue": "revenue"})
 
 
-@query("narrative")
+@query("narrative", f"""WITH {PROFILES}, {ACCOUNTS}, {LATEST} SELECT p.organisation_number, concat_ws(' ', p.name || ' is registered in ' || upper(left(municipality, 1)) || lower(substr(municipality, 2)) || '.', 'It has ' || employees || ' registered employees.',
+ 'Its latest revenue is ' || format('{{:,}}', round_even(l.revenue, 0)::BIGINT) || '.', CASE WHEN l.annual_result < 0 THEN 'The latest result is a loss.' WHEN l.annual_result > 0 THEN 'The latest result is a profit.' END) AS summary FROM p LEFT JOIN l USING (key)""")
 def narrative(spark, d):
     return E.narrative(_screen_rows(spark, d)).select("organisation_number", "summary")
 
 
-from . import extended, functions, identities, registers  # noqa: E402,F401  add their queries
+from . import activity, extended, functions, identities, registers  # noqa: E402,F401  add their queries
