@@ -206,3 +206,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, depth: int = DEPTH,
     met = found.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("runs")).alias("runs"), F.flatten(F.collect_list("items")).alias("items"), best.alias("best"))
     bad = (F.col("n_hit") > 0) & (F.lit(share) * F.col("n_hit") >= F.col("n_words"))
     return met.drop("row").mapInArrow(_merge, VERDICT).withColumn("contaminated", bad)
+
+
+#: DuckDB SQL of the contract's columns (DEPTH, SHARE) where document ids are unique.
+ORACLE = r"""
+WITH f AS (SELECT doc_id, NULL::BIGINT AS item_id, text FROM documents UNION ALL SELECT NULL, item_id, text FROM benchmark),
+t AS (SELECT doc_id, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM f),
+u AS (SELECT doc_id, item_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM t),
+l AS (SELECT doc_id, item_id, n, pos, list(word) OVER (PARTITION BY doc_id, item_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS l FROM u),
+b AS (SELECT DISTINCT item_id, least(13, n) AS size, array_to_string(l, ' ') AS k FROM l WHERE item_id IS NOT NULL AND len(l) = least(13, n)),
+z AS (SELECT DISTINCT size FROM b),
+h AS (SELECT doc_id, pos, size, array_to_string(list_slice(l, 1, size), ' ') AS k FROM l, z WHERE doc_id IS NOT NULL AND len(l) >= size),
+m AS (SELECT doc_id, pos, size, item_id FROM h JOIN b USING (k, size)),
+x AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM m GROUP BY 1),
+y AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, pos, size FROM m) v, unnest(range(pos, pos + size)) q(p) GROUP BY 1)
+SELECT t.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM t LEFT JOIN x ON x.doc_id = t.doc_id LEFT JOIN y ON y.doc_id = t.doc_id WHERE t.item_id IS NULL AND t.doc_id IS NOT NULL
+"""

@@ -38,7 +38,8 @@ def op7_language_model_scores(spark, sf_dir):
 
 
 def op8_decontaminate(spark, sf_dir):
-    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op9_mix_sources(spark, sf_dir):
@@ -50,4 +51,4 @@ def op10_personal_data(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_paragraph_dedup, op2_suffix_array_dedup, op3_quality_rules, op4_warc_round_trip, op5_ngram_jaccard_join, op6_secret_scan, op7_language_model_scores, op8_decontaminate, op9_mix_sources, op10_personal_data)}
-ORACLES = {"op9_mix_sources": mixing.ORACLE}
+ORACLES = {"op4_warc_round_trip": warc.ORACLE, "op5_ngram_jaccard_join": setjoin.ORACLE, "op8_decontaminate": decontaminate.ORACLE, "op9_mix_sources": mixing.ORACLE}

@@ -267,3 +267,18 @@ def document_components(docs: DataFrame, *, gram: int = GRAM, percent: int = PER
     ids = saved(ids.join(component, "cid", "left").select("key", F.coalesce("component", "cid").alias("component")))
     out = members.select("doc_id", "n", "key").join(ids, "key", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+
+
+#: DuckDB SQL of document_components' rows (GRAM, PERCENT) where ids are unique and not null.
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+u AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+g AS (SELECT doc_id, n, list(word) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS l, pos FROM u),
+s AS (SELECT DISTINCT doc_id, array_to_string(l, ' ') AS k FROM g WHERE len(l) = 3 OR (n < 3 AND pos = 1)),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN c a ON a.doc_id = x JOIN c b ON b.doc_id = y WHERE 100 * shared >= 90 * (a.n + b.n - shared)),
+z AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r AS (SELECT doc_id, doc_id AS m FROM d UNION SELECT r.doc_id, z.y FROM r JOIN z ON z.x = r.m)
+SELECT r.doc_id, coalesce(any_value(c.n), 0)::BIGINT AS n_shingles, min(m) AS component_id FROM r LEFT JOIN c ON c.doc_id = r.doc_id GROUP BY 1
+"""

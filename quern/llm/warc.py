@@ -216,3 +216,13 @@ def warc_round_trip(pages: DataFrame, *, min_revisit_bytes: int = 0) -> DataFram
     write_archives(pages, path, min_revisit_bytes=min_revisit_bytes)
     back = read_archives(spark, path, with_payload=False)
     return back.select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), F.col("refers_page").alias("refers_to"))
+
+
+#: DuckDB SQL of warc_round_trip's rows where page ids are unique: 5 hexadecimal digits of SHA-1 are 4 of base32.
+ORACLE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, sha1(h) AS s, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (1 + ((('0x' || substr(s, (1 + 5 * (i // 4))::INT, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31))::INT, 1)), '') AS payload_digest,
+    CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM q
+"""
