@@ -12,9 +12,10 @@ a source of its own and comes last; equal keys are read by id and size;
 repeated ids are separate documents of the same key; no documents give no
 rows; other columns of the input are ignored.
 
-No source meets in one task: keys are cut into ranges (about 2,000 documents
-each), ranges are summed first, and prefix sums run over range totals and then
-inside a range.
+No source meets in one task: keys are cut into ranges (about RANGE_DOCS documents
+each; the fourth root of the key evens the ranges out to four times that at most), ranges are summed
+first, and prefix sums run over the totals of blocks of RANGES ranges, over the ranges of a block, and inside
+a range. One row a source is all that meets in one task, to share the budget out.
 """
 
 from __future__ import annotations
@@ -26,12 +27,18 @@ from .common import maybe_broadcast, saved
 WORD = r"[^\x20\x09-\x0D]+"
 SOURCE_WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
-RANGE_DOCS = 2000
+RANGE_DOCS, RANGES = 2000, 1000
+#: Mean word lengths of running text.
+USUAL_WORD = (3.0, 10.0)
+BLANKS = " \t\n\x0b\x0c\r"
 
 
-def quality_weight(size):
-    """Documents of under 200 words are drawn less often, down to half."""
-    return F.lit(0.5) + F.lit(0.5) * F.least(F.lit(1.0), size.cast("double") / F.lit(200.0))
+def quality_weight(size, letters):
+    """Documents of under 200 words are drawn less often, down to half, and those whose
+    words are no running text's by their mean length half as often again: 0.25 to 1."""
+    mean = letters.cast("double") / F.greatest(size, F.lit(1)).cast("double")
+    usual = F.when((mean >= F.lit(USUAL_WORD[0])) & (mean <= F.lit(USUAL_WORD[1])), F.lit(1.0)).otherwise(F.lit(0.5))
+    return (F.lit(0.5) + F.lit(0.5) * F.least(F.lit(1.0), size.cast("double") / F.lit(200.0))) * usual
 
 
 def hashed_uniform(col):
@@ -66,15 +73,20 @@ def mix_sources(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.concat(F.lit("0"), F.col(source_col).cast("string")), F.lit("1")).alias("sk"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)).cast("long"), F.lit(0).cast("long")).alias("size"),
+        F.coalesce(F.length(F.translate(F.col(text_col), BLANKS, "")), F.lit(0)).cast("long").alias("letters"),
     ))
     targets = saved(source_targets(sizes, weights, share, max_epochs))
     epochs = F.when(F.col("source_size") > 0, F.least(F.lit(max_epochs), F.floor(F.col("target") / F.col("source_size")))).otherwise(F.lit(0)).cast("long")
     d = sizes.join(maybe_broadcast(targets), "sk")
-    d = d.withColumn("p", F.pow(hashed_uniform(F.col("doc_id")), F.lit(1.0) / quality_weight(F.col("size"))))
-    d = d.withColumn("range", F.floor((F.lit(1.0) - F.col("p")) * F.ceil(F.col("n_docs") / F.lit(range_docs))).cast("long"))
+    d = d.withColumn("p", F.pow(hashed_uniform(F.col("doc_id")), F.lit(1.0) / quality_weight(F.col("size"), F.col("letters"))))
+    d = d.withColumn("range", F.floor((F.lit(1.0) - F.pow("p", F.lit(0.25))) * F.ceil(F.col("n_docs") / F.lit(range_docs))).cast("long"))
     d = d.withColumn("epochs", epochs).withColumn("rest", F.floor(F.col("target") - F.col("epochs") * F.col("source_size") + F.lit(1e-6)).cast("long"))
     ranges = d.groupBy("sk", "range").agg(F.sum("size").alias("range_size"))
-    ranges = ranges.withColumn("offset", F.sum("range_size").over(W.partitionBy("sk").orderBy("range")) - F.col("range_size")).drop("range_size")
+    ranges = ranges.withColumn("block", F.floor(F.col("range") / RANGES))
+    blocks = ranges.groupBy("sk", "block").agg(F.sum("range_size").alias("block_size"))
+    blocks = blocks.withColumn("ahead", F.sum("block_size").over(W.partitionBy("sk").orderBy("block")) - F.col("block_size")).drop("block_size")
+    inside = F.sum("range_size").over(W.partitionBy("sk", "block").orderBy("range")) - F.col("range_size")
+    ranges = ranges.withColumn("inside", inside).join(blocks, ["sk", "block"]).select("sk", "range", (F.col("ahead") + F.col("inside")).alias("offset"))
     d = d.join(ranges, ["sk", "range"])
     within = W.partitionBy("sk", "range").orderBy(F.desc("p"), "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
     start = F.col("offset") + F.sum("size").over(within) - F.col("size")
@@ -85,7 +97,8 @@ def mix_sources(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col
 #: DuckDB SQL of the same rows.
 ORACLE = r"""
 WITH s AS (SELECT doc_id, coalesce('0' || source, '1') AS sk,
-    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    coalesce(length(translate(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')), 0)::BIGINT AS letters FROM documents),
 p AS (SELECT sk, sum(size)::BIGINT AS source_size, count(*) AS n_docs FROM s GROUP BY sk),
 w AS (SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY sk) - 1) % 3 + 1)::INT]::DOUBLE AS w, 3.0::DOUBLE * source_size AS cap FROM p),
 r AS (SELECT *, cap / w AS ratio, sum(source_size) OVER ()::DOUBLE AS total FROM w),
@@ -96,7 +109,8 @@ t AS (SELECT sk, source_size, n_docs, CASE WHEN (SELECT lev FROM v) IS NULL THEN
 d AS (SELECT s.doc_id, s.size, t.sk, t.source_size, t.target,
     CASE WHEN t.source_size > 0 THEN least(3, floor(t.target / t.source_size))::BIGINT ELSE 0 END AS epochs,
     pow((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 1)::DOUBLE / 4503599627370496.0,
-        1.0::DOUBLE / (0.5::DOUBLE + 0.5::DOUBLE * least(1.0::DOUBLE, s.size::DOUBLE / 200.0::DOUBLE))) AS p
+        1.0::DOUBLE / ((0.5::DOUBLE + 0.5::DOUBLE * least(1.0::DOUBLE, s.size::DOUBLE / 200.0::DOUBLE))
+            * CASE WHEN s.letters::DOUBLE / greatest(s.size, 1) BETWEEN 3.0 AND 10.0 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END)) AS p
     FROM s JOIN t USING (sk)),
 e AS (SELECT *, floor(target - epochs * source_size + 0.000001)::BIGINT AS rest,
     (sum(size) OVER (PARTITION BY sk ORDER BY p DESC, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size)::BIGINT AS start FROM d)
