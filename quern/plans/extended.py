@@ -306,16 +306,16 @@ def proxy_score(spark, d):
     return P.proxy_score(m).select("k", "external_points", "foundation_points", "raw_score", "qualified")
 
 
-@query("budget_report", """WITH s AS (SELECT event_type AS run, list_sort(list(value)) AS v, count(*) AS n, round(sum(value * 0.001::DOUBLE), 4) AS c, sum(event_id % 1000) AS b FROM events GROUP BY 1)
+@query("budget_report", """WITH s AS (SELECT event_type AS run, list_sort(list(value)) AS v, count(*) AS n, round(sum((event_id % 7) * 0.25::DOUBLE), 4) AS c, sum(event_id % 1000) AS b FROM events GROUP BY 1)
 SELECT run, n AS total_requests, c AS total_cost, b::BIGINT AS total_bytes, v[(n // 2) + 1] AS p50_ms, v[least(n - 1, floor(n * 0.95::DOUBLE)::BIGINT) + 1] AS p95_ms, greatest(0, 5000 - n) AS remaining_requests FROM s""")
 def budget_report(spark, d):
-    e = table(spark, d, "events").select(F.col("event_type").alias("run"), F.col("value").alias("elapsed_ms"), (F.col("value") * F.lit(0.001)).alias("cost_usd"), (F.col("event_id") % 1000).alias("bytes"))
+    e = table(spark, d, "events").select(F.col("event_type").alias("run"), F.col("value").alias("elapsed_ms"), ((F.col("event_id") % 7) * F.lit(0.25)).alias("cost_usd"), (F.col("event_id") % 1000).alias("bytes"))
     return P.budget_report(e, "run", 5000)
 
 
-@query("owner_attribution", "SELECT event_type AS run, CASE WHEN user_id % 9 = 0 THEN 'shared' ELSE user_id::VARCHAR END AS owner, count(*) AS requests, round(sum(value * 0.001::DOUBLE), 4) AS cost, sum(event_id % 1000)::BIGINT AS bytes FROM events GROUP BY 1, 2")
+@query("owner_attribution", "SELECT event_type AS run, CASE WHEN user_id % 9 = 0 THEN 'shared' ELSE user_id::VARCHAR END AS owner, count(*) AS requests, round(sum((event_id % 7) * 0.25::DOUBLE), 4) AS cost, sum(event_id % 1000)::BIGINT AS bytes FROM events GROUP BY 1, 2")
 def owner_attribution(spark, d):
-    e = table(spark, d, "events").select(F.col("event_type").alias("run"), F.when(F.col("user_id") % 9 != 0, F.col("user_id")).alias("owner"), (F.col("value") * F.lit(0.001)).alias("cost_usd"), (F.col("event_id") % 1000).alias("bytes"))
+    e = table(spark, d, "events").select(F.col("event_type").alias("run"), F.when(F.col("user_id") % 9 != 0, F.col("user_id")).alias("owner"), ((F.col("event_id") % 7) * F.lit(0.25)).alias("cost_usd"), (F.col("event_id") % 1000).alias("bytes"))
     return P.owner_attribution(e, "run", "owner")
 
 
