@@ -69,10 +69,27 @@ def membership_digest(df: DataFrame, key: str, cut: int = 2) -> DataFrame:
 
 
 def admit_in_order(rows: DataFrame, owner: str, order: list[str], cost: str, budget: float, reserve: float = 0.0) -> DataFrame:
-    """Running cost per owner against its budget less the reserve."""
-    w = W.partitionBy(owner).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    spent = F.sum(cost).over(w)
-    return rows.withColumn("spent", F.round(spent, 2)).withColumn("admitted", spent <= budget - reserve)
+    """Requests of an owner in order against its budget less the reserve. One that no longer
+    fits is refused and not charged, so that a smaller one may follow: spent is what the admitted ones cost.
+
+    The rule is sequential, hence one owner's requests (a run's log) are walked in one task."""
+    import pyarrow as pa
+    from pyspark.sql import types as t
+
+    schema = t.StructType([*rows.schema, t.StructField("spent", t.DoubleType()), t.StructField("admitted", t.BooleanType())])
+    most = budget - reserve
+
+    def walk(key, log):
+        log = log.sort_by([(c, "ascending") for c in order])
+        spent, ok, total = [], [], 0.0
+        for c in log[cost].to_pylist():
+            fits = total + (c or 0.0) <= most
+            total += (c or 0.0) if fits else 0.0
+            spent.append(round(total, 2))
+            ok.append(fits)
+        return log.append_column("spent", pa.array(spent, pa.float64())).append_column("admitted", pa.array(ok))
+
+    return rows.groupBy(owner).applyInArrow(walk, schema)
 
 
 def explore_order(history: DataFrame, strategy: str, gain: str, weight: float = 0.35) -> DataFrame:

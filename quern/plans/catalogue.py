@@ -305,7 +305,10 @@ def domain_percentiles(spark, d):
     return M.count_percentiles(table(spark, d, "pages").select(U.host(F.col("url")).alias("host")), "host")
 
 
-@query("budget_admission", "WITH s AS (SELECT event_id, user_id, sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM events) SELECT event_id, round(s, 2) AS spent, s <= 475.0 AS admitted FROM s")
+@query("budget_admission", """WITH RECURSIVE s AS (SELECT event_id, user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+a AS (SELECT user_id, n, event_id, CASE WHEN value <= 475.0 THEN value ELSE 0 END::DOUBLE AS spent, value <= 475.0 AS admitted FROM s WHERE n = 1
+ UNION ALL SELECT s.user_id, s.n, s.event_id, CASE WHEN a.spent + s.value <= 475.0 THEN a.spent + s.value ELSE a.spent END, a.spent + s.value <= 475.0 FROM a JOIN s ON s.user_id = a.user_id AND s.n = a.n + 1)
+SELECT event_id, round(spent, 2) AS spent, admitted FROM a""")
 def budget_admission(spark, d):
     return M.admit_in_order(table(spark, d, "events"), "user_id", ["ts", "event_id"], "value", 500.0, 25.0).select("event_id", "spent", "admitted")
 

@@ -12,22 +12,59 @@ def compact(log: DataFrame, key: str, order: list[str], status: str, active: str
     return last.where(F.col(status) == active)
 
 
-def compact_stream(log: DataFrame, key: str, order: list[str], status: str, path: str, checkpoint: str, active: str = "ACTIVE"):
-    """The same as a stream: every micro-batch is merged with the table of last
-    changes (deletes kept as tombstones) and written as a new version, so a
-    batch that is replayed after a failure writes the same version again."""
+BUCKETS = 64
+
+
+def compact_stream(log: DataFrame, key: str, order: list[str], status: str, path: str, checkpoint: str, buckets: int = BUCKETS):
+    """The same as a stream: last changes (deletes kept as tombstones) stand in buckets of the key's hash,
+    and a micro-batch rewrites only the buckets that it touches, as a new version of each. A batch that is replayed
+    after a failure writes the same versions again. read_compacted gives the state; a bucket's versions
+    before the last but one are removed as it is written."""
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        new = batch
-        if epoch > 0:
-            new = batch.unionByName(spark.read.parquet(f"{path}/v={epoch - 1}"))
-        rest = [c for c in new.columns if c != key]
-        last = new.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r")).select(key, "r.*")
-        last.write.mode("overwrite").parquet(f"{path}/v={epoch}")
+        new = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        touched = [r[0] for r in new.select("bucket").distinct().collect()]  # `buckets` numbers at most
+        if not touched:
+            return
+        old = _versions(spark, path)
+        before = {b: max(v for v in old[b] if v < epoch) for b in touched if any(v < epoch for v in old.get(b, ()))}
+        if before:
+            files = [f"{path}/bucket={b}/v={v}" for b, v in sorted(before.items())]
+            kept = spark.read.schema(batch.schema).parquet(*files).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+            new = new.unionByName(kept)
+        rest = [c for c in new.columns if c not in (key, "bucket")]
+        last = new.groupBy("bucket", key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r")).select("bucket", F.lit(epoch).alias("v"), key, "r.*")
+        last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "v").parquet(path)
+        for b in touched:
+            for v in sorted(v for v in old.get(b, ()) if v < epoch)[:-1]:
+                _fs(spark, path).delete(_path(spark, f"{path}/bucket={b}/v={v}"), True)
 
     return log.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
 
 
+def _path(spark, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _fs(spark, path: str):
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _versions(spark, path: str) -> dict[int, list[int]]:
+    """bucket -> its versions, by the names of the folders alone."""
+    out: dict[int, list[int]] = {}
+    for s in _fs(spark, path).globStatus(_path(spark, f"{path}/bucket=*/v=*")) or []:
+        bucket, v = (x.partition("=")[2] for x in s.getPath().toString().rsplit("/", 2)[1:])
+        out.setdefault(int(bucket), []).append(int(v))
+    return out
+
+
+def read_compacted(spark, path: str, status: str, active: str = "ACTIVE") -> DataFrame:
+    """The active rows of compact_stream's state: the last version of every bucket."""
+    files = [f"{path}/bucket={b}/v={max(v)}" for b, v in sorted(_versions(spark, path).items())]
+    return spark.read.parquet(*files).where(F.col(status) == active)
+
+
 def merge_events(seeds: DataFrame, events: DataFrame, key: str, at: str) -> DataFrame:
     """Latest event per seed; a seed without any gets a source_error row."""
     rest = [c for c in events.columns if c != key]
