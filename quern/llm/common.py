@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -26,10 +28,28 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_folders: set[str] = set()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the application's own part of the shared folder, which is removed when the driver ends."""
+    own = f"{shared_dir(spark)}/quern-{spark.sparkContext.applicationId}"
+    if own not in _folders:
+        _folders.add(own)
+
+        def remove():
+            with contextlib.suppress(Exception):  # the session may be gone before
+                path = spark._jvm.org.apache.hadoop.fs.Path(own)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+        atexit.register(remove)
+    return f"{own}/{uuid.uuid4().hex}"
+
+
 def saved(df: DataFrame) -> DataFrame:
     """Cut the lineage: write to the shared folder as Parquet and read back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    path = scratch(spark)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
@@ -55,16 +75,16 @@ def maybe_broadcast(df: DataFrame, rows: int = 50_000) -> DataFrame:
     return F.broadcast(df) if small_enough(df, rows) else df
 
 
-def batched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ids: int = BATCH_IDS, most: int = BATCH_BYTES) -> DataFrame:
+def batched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ids: int = BATCH_IDS, most: int | None = None) -> DataFrame:
     """(batch, doc_id, text): documents that are handled together, batches in the order of ids.
 
-    A batch is a block of `ids` ids; a block of over `most` bytes of text is
+    A batch is a block of `ids` ids; a block of over `most` (BATCH_BYTES) bytes of text is
     dealt id by id. Rows without an id come last, about `ids` of them a batch.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("place"))
     block = F.col("doc_id") - F.pmod("doc_id", F.lit(ids))
     load = rows.groupBy(block.alias("heavy")).agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n"))
-    load = saved(load.where(F.col("heavy").isNull() | (F.col("bytes") > most)))
+    load = saved(load.where(F.col("heavy").isNull() | (F.col("bytes") > (BATCH_BYTES if most is None else most))))
     bare = load.where("heavy is null").agg(F.sum("n")).first()[0] or 0
     heavy = load.where("heavy is not null").select("heavy")
     if not heavy.isEmpty():

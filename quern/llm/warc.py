@@ -28,13 +28,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import uuid
 import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import saved, shared_dir
+from .common import saved, scratch
 
 SEGMENT_BYTES, CHUNK_BYTES, FILE_RECORDS, DATE = 16_384, 4096, 5000, "2024-01-01T00:00:00Z"
 CRLF = b"\r\n"
@@ -212,7 +211,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
 def warc_round_trip(pages: DataFrame, *, min_revisit_bytes: int = 0) -> DataFrame:
     """Write the pages' archives, read them back and report each page."""
     spark = pages.sparkSession
-    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    path = scratch(spark)
     write_archives(pages, path, min_revisit_bytes=min_revisit_bytes)
     back = read_archives(spark, path, with_payload=False)
     return back.select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), F.col("refers_page").alias("refers_to"))

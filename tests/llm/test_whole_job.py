@@ -70,3 +70,50 @@ def test_paragraph_query_takes_short_lines(spark, tmp_path):
     pairs = lambda x: {(i, s) for i, v in x.items() for s in v.split(",") if s}
     assert set(got) == set(want) and pairs(got) <= pairs(want) and len(pairs(got)) >= 0.97 * len(pairs(want))
     assert got[20_001] == want[20_001] != "" and len(got[20_003].split(",")) == 6
+
+
+def test_batches_by_bytes(spark, monkeypatch):
+    """Blocks over the byte limit are dealt id by id, rows without an id in batches of their own: the results stay."""
+    from quern.llm import common, scoring, suffixes
+
+    rows = corpus(120, seed=31)
+    none = [(None, f"row without an id {k} " * 12) for k in range(700)]
+    docs = spark.createDataFrame(rows + none, "doc_id long, text string").repartition(3)
+    run = lambda: [
+        {tuple(r) for r in suffixes.remove_repeats(docs).collect() if r.doc_id is not None}, {tuple(r) for r in setjoin.document_components(docs).collect() if r.doc_id is not None},
+        {(r.doc_id, r.n_known, round(r.base_score, 6)) for r in scoring.score_documents(docs).collect() if r.doc_id is not None},
+    ]
+    whole = run()
+    assert common.batched(docs).where("doc_id is null").select("batch").distinct().count() >= 2
+    monkeypatch.setattr(common, "BATCH_BYTES", 2000)
+    assert common.batched(docs).where("doc_id is not null").groupBy("batch").count().where("count > 1").count() < 10
+    assert run() == whole and whole[0] == {(i, *x) for i, x in brute.suffixes(rows).items()}
+
+
+def test_redaction_without_ids(spark):
+    """Every row's own secrets go, whatever its other columns hold; nothing is joined."""
+    from quern.llm import secrets
+
+    key = "token = abcdefghijklmnop1234"
+    rows = [(None, f"a {key}"), (1, f"{key} b"), (1, f"c c c {key}"), (2, None), (2, "")]
+    got = secrets.redact_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted((str(i), str(t).replace(key, "[ASSIGN]")) for i, t in rows)
+
+
+def test_passages_in_other_surroundings(spark, tmp_path):
+    """Passages of over 50 words inside longer lines and over other line breaks are found; clean texts are left alone."""
+    r = random.Random(41)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(3, 9)))
+    some = lambda n: [word() for _ in range(n)]
+    wrap = lambda w: "".join(x + r.choice([" ", " ", " ", "\n"]) for x in w)
+    passages = [some(r.randrange(52, 90)) for _ in range(20)]
+    rows = [(i, wrap(some(r.randrange(40, 200)))) for i in range(200)]
+    planted = [(1000 + i, wrap(some(r.randrange(5, 60))) + wrap(passages[i % 20]) + wrap(some(r.randrange(5, 60)))) for i in range(100)]
+    spark.createDataFrame(rows + planted, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = by_id(queries.op1_paragraph_dedup(spark, str(tmp_path)))
+    later = [i for i, _ in planted[20:]]
+    assert sum(got[i].passage_words >= 25 for i in later) >= 0.95 * len(later)
+    assert not any(got[i].passage_words for i, _ in rows + planted[:20])
+    for i, t in rows + planted:
+        n, gone = len(t.split()), (got[i].words_removed, got[i].passage_words)  # lines and passages may overlap
+        assert got[i].n_words == n and n - sum(gone) <= got[i].words_kept <= n - max(gone)
