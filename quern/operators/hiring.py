@@ -9,7 +9,7 @@ from ..functions import text as T, urls as U
 #: Fixed recruitment phrases.
 PHRASES = (
     r"\bledige?\s+stilling(?:er)?\b", r"\bbli\s+med\s+p[åa]\s+(?:v[åa]rt\s+)?(?:team|laget)\b", r"\bkarriere\s+hos\s+oss\b", r"\bwe(?:'re|\s+are)\s+hiring\b", r"\bopen\s+positions?\b",
-    r"\bjoin\s+our\s+team\b", r"\bjobbe?\s+hos\s+oss\b", r"\bny(?:e)?\s+medarbeidere?\b",
+    r"\bjoin\s+our\s+team\b", r"\bjobb\s+hos\s+oss\b", r"\bjobbe\s+hos\s+oss\b", r"\bny(?:e)?\s+medarbeidere?\b",
 )
 CAREER = r"(?i)(?:^|/)(?:karriere|careers?|jobs?|jobb|jobber|jobbe?-hos-oss|vacancies|stillinger?|ledige?-stillinger?|work-with-us)(?:/|$)"
 BEFORE, AFTER = 35, 65
