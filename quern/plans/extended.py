@@ -292,6 +292,20 @@ def audit_precision(spark, d):
     return a.select("labels", "incomplete_labels", "published_audited", "wrong_entity", "wrong_metric", "unsupported", "invalid_spans", "audit_size_gate", "entity_precision")
 
 
+#: SQL of observations whose sources may carry a sentiment.
+FELT = OBS.replace("'company_owned'", "'public_news'").replace("'independent_news'", "'public_news'").replace("'review_site'", "'customer_review'")
+
+
+@query("sentiment_readiness", f"""WITH {FELT}, s AS (SELECT *, regexp_extract(source_url, '//([^/]+)', 1) AS host FROM r WHERE len(reasons) = 0 AND sentiment_label IS NOT NULL),
+g AS (SELECT organisation_number, count(*) AS items, count(DISTINCT host) AS hosts, count(DISTINCT reviewer_id) AS reviewers, avg(CASE sentiment_label WHEN 'positive' THEN 1 WHEN 'neutral' THEN 0 WHEN 'negative' THEN -1 END) AS mean FROM s GROUP BY 1)
+SELECT o.organisation_number, coalesce(items, 0)::BIGINT AS sentiment_items, coalesce(hosts, 0)::BIGINT AS sentiment_hosts, CASE WHEN items >= 10 AND (hosts >= 2 OR reviewers >= 10) THEN round(50 + 50 * mean, 1) END AS sentiment_score FROM (SELECT DISTINCT organisation_number FROM o) o LEFT JOIN g ON g.organisation_number = o.organisation_number""")
+def sentiment_readiness(spark, d):
+    from ..operators.observations import footprint
+
+    o = observations(spark, d).withColumn("source_class", F.when(F.col("source_class") == "review_site", "customer_review").when(F.col("source_class") == "scraped", "scraped").otherwise("public_news"))
+    return footprint(o, F.lit("2024-03-01").cast("timestamp")).select("organisation_number", "sentiment_items", "sentiment_hosts", "sentiment_score")
+
+
 @query("proxy_score", """WITH m AS (SELECT c_custkey AS k, (c_custkey % 10) / 8.0::DOUBLE AS x, c_custkey % 2 = 0 AS q, c_custkey % 5 <> 0 AS b FROM customer),
 p AS (SELECT k, CASE WHEN q THEN 10 ELSE 0 END + CASE WHEN q THEN round(10 * least(1, x), 3) ELSE 0 END + CASE WHEN q THEN round(10 * least(1, x), 3) + round(7 * least(1, x), 3) + round(8 * least(1, x), 3) + round(7 * least(1, x), 3) + round(3 * least(1, x), 3) ELSE 0 END AS e,
  4 + round(4 * least(1, x), 3) + 4 + 3 AS f, CASE WHEN b THEN 10 ELSE 5 END AS r, CASE WHEN b THEN 4 ELSE 0 END + CASE WHEN q THEN 2 ELSE 0 END + 3 + CASE WHEN b AND k % 7 < 5 THEN 1 ELSE 0 END + 2 AS d, CASE WHEN b THEN 6 ELSE 4 END AS u, q, b FROM m)
