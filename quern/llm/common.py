@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import tempfile
 import uuid
 
@@ -55,6 +56,12 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Shuffle files of plans that nothing refers to any more go now, not when the driver's heap is next collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernels as K, routing as R
-from .common import BATCH_IDS, batched, bucket_count, components, saved
+from .common import BATCH_IDS, batched, bucket_count, components, release, saved
 
 GRAM, PERCENT, BLOCK = 3, 90, 256
 
@@ -200,6 +200,7 @@ def document_components(docs: DataFrame, *, gram: int = GRAM, percent: int = PER
     asked = t.groupBy("batch").applyInArrow(opening_grams, R.ASK)
     back = asked.groupBy("bucket").applyInArrow(shared_elsewhere, R.ANSWER)
     members = saved(t.groupBy("batch").cogroup(back.groupBy("batch")).applyInArrow(remaining, "doc_id long, n long, key binary, grams binary"))
+    release(spark)
     classes = saved(members.where("grams is not null").groupBy("key").agg(F.min("doc_id").alias("cid"), F.max("n").alias("n"), F.max("grams").alias("grams")).where("cid is not null").drop("key"))
 
     # rarest first: how many classes hold each gram
@@ -233,6 +234,8 @@ def document_components(docs: DataFrame, *, gram: int = GRAM, percent: int = PER
     counts = c.groupBy("batch").applyInArrow(all_grams, R.ASK).groupBy("bucket").applyInArrow(frequency, R.ANSWER)
     path = saved(c.groupBy("batch").cogroup(counts.groupBy("batch")).applyInArrow(paths, "cid long, n long, path binary, freq binary, shared array<long>"))
 
+    release(spark)
+
     def post(batches):
         for b in batches:
             at = b.column("shared").to_pylist()
