@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernels as K, routing as R
-from .common import batched, bucket_count, components, saved
+from .common import batched, bucket_count, components, release, saved
 from .quality import NEWLINE
 from .setjoin import _runs, needed, verified
 
@@ -298,6 +298,7 @@ def repeated_paragraphs(docs: DataFrame, *, min_words: int = MIN_WORDS, reach: i
 
     back = t.groupBy("batch").applyInArrow(ask, R.ASK).groupBy("bucket").applyInArrow(_shared, R.ANSWER)
     parts = saved(t.groupBy("batch").cogroup(back.groupBy("batch")).applyInArrow(sift, PARTS))
+    release(spark)
     component = class_components(parts).withColumnsRenamed({"id": "key"})
 
     found = parts.where("place is not null").select("batch", "row", "place", "kind", "w0", "w1", "start", "stop", "key").join(component, "key", "left").withColumn("group", F.coalesce("component", "key"))
