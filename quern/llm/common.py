@@ -101,7 +101,7 @@ def batched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ids
     return rows.select(F.coalesce(block, last).alias("batch"), "doc_id", "text")
 
 
-def pieces(batches, col: str = "text", limit: int = 4_000_000):
+def pieces(batches, col: str = "text", limit: int = 2_000_000):
     """Record batches cut to runs of rows of about `limit` text bytes (one row
     at least), which bounds the kernels' working memory."""
     for b in batches:

@@ -1,6 +1,6 @@
 """Benchmark decontamination by suffix arrays over shards of training text.
 
-A shard is a run of whole documents of one Arrow batch (about 4 MB of text),
+A shard is a run of whole documents of one Arrow batch (about 2 MB of text),
 its alphabet are hashed words. The shard's suffix array is kept sparse without loss: a suffix
 whose first words (as many as the shortest benchmark window, QGRAM at most)
 open no benchmark suffix can match no window, so it is left out before
