@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lexical, mixing, neighbours, paragraphs, personal, quality, scoring, secrets, setjoin, suffixes, warc
+from . import conversations, decontaminate, lexical, mixing, neighbours, paragraphs, personal, quality, scoring, secrets, setjoin, suffixes, warc
 
 
 def table(spark, sf_dir: str, name: str):
@@ -50,6 +50,10 @@ def op10_personal_data(spark, sf_dir):
     return personal.personal_spans(table(spark, sf_dir, "documents"))
 
 
+def op11_turn_reassembly(spark, sf_dir):
+    return conversations.digests(conversations.replay(table(spark, sf_dir, "conversations")))
+
+
 def op12_nearest_neighbours(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
 
@@ -58,5 +62,5 @@ def op13_ranked_search(spark, sf_dir):
     return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_paragraph_dedup, op2_suffix_array_dedup, op3_quality_rules, op4_warc_round_trip, op5_ngram_jaccard_join, op6_secret_scan, op7_language_model_scores, op8_decontaminate, op9_mix_sources, op10_personal_data, op12_nearest_neighbours, op13_ranked_search)}
+QUERIES = {f.__name__: f for f in (op1_paragraph_dedup, op2_suffix_array_dedup, op3_quality_rules, op4_warc_round_trip, op5_ngram_jaccard_join, op6_secret_scan, op7_language_model_scores, op8_decontaminate, op9_mix_sources, op10_personal_data, op11_turn_reassembly, op12_nearest_neighbours, op13_ranked_search)}
 ORACLES = {"op4_warc_round_trip": warc.ORACLE, "op5_ngram_jaccard_join": setjoin.ORACLE, "op8_decontaminate": decontaminate.ORACLE, "op9_mix_sources": mixing.ORACLE, "op13_ranked_search": lexical.ORACLE}
