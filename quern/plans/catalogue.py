@@ -766,4 +766,4 @@ def narrative(spark, d):
     return E.narrative(_screen_rows(spark, d)).select("organisation_number", "summary")
 
 
-from . import activity, extended, functions, identities, matching, pages, profiles as companies, registers  # noqa: E402,F401  add their queries
+from . import activity, extended, functions, identities, matching, pages, profiles as companies, registers, states  # noqa: E402,F401  add their queries

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -17,27 +19,34 @@ BUCKETS = 64
 
 def compact_stream(log: DataFrame, key: str, order: list[str], status: str, path: str, checkpoint: str, buckets: int = BUCKETS):
     """The same as a stream: last changes (deletes kept as tombstones) stand in buckets of the key's hash,
-    and a micro-batch rewrites only the buckets that it touches, as a new version of each. A batch that is replayed
-    after a failure writes the same versions again. read_compacted gives the state; a bucket's versions
-    before the last but one are removed as it is written."""
+    and a micro-batch rewrites only the buckets that it touches, as a new version of each.
+
+    A manifest names every bucket's version and the last micro-batch of every checkpoint. It is written after
+    the data and put in place by one rename, so that a reader sees a micro-batch whole or not at all: what
+    a crash leaves behind is in no manifest and is overwritten. A micro-batch that the manifest has is not
+    applied again; a new checkpoint is another stream, whose changes meet the state by `order`. One stream
+    writes at a time. read_compacted gives the state; versions before the last but one are removed."""
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
+        stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        number, manifest = _manifest(spark, path)
+        if manifest["applied"].get(stream, -1) >= epoch:
+            return
         new = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
         touched = [r[0] for r in new.select("bucket").distinct().collect()]  # `buckets` numbers at most
-        if not touched:
-            return
-        old = _versions(spark, path)
-        before = {b: max(v for v in old[b] if v < epoch) for b in touched if any(v < epoch for v in old.get(b, ()))}
-        if before:
-            files = [f"{path}/bucket={b}/v={v}" for b, v in sorted(before.items())]
-            kept = spark.read.schema(batch.schema).parquet(*files).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-            new = new.unionByName(kept)
-        rest = [c for c in new.columns if c not in (key, "bucket")]
-        last = new.groupBy("bucket", key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r")).select("bucket", F.lit(epoch).alias("v"), key, "r.*")
-        last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "v").parquet(path)
-        for b in touched:
-            for v in sorted(v for v in old.get(b, ()) if v < epoch)[:-1]:
-                _fs(spark, path).delete(_path(spark, f"{path}/bucket={b}/v={v}"), True)
+        versions = {int(b): v for b, v in manifest["versions"].items()}
+        if touched:
+            if kept := [f"{path}/bucket={b}/v={versions[b]}" for b in touched if b in versions]:
+                new = new.unionByName(spark.read.schema(batch.schema).parquet(*kept).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")))
+            rest = [c for c in new.columns if c not in (key, "bucket")]
+            last = new.groupBy("bucket", key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r")).select("bucket", F.lit(number + 1).alias("v"), key, "r.*")
+            last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "v").parquet(path)
+        before, versions = versions, versions | {b: number + 1 for b in touched}
+        _commit(spark, path, number + 1, {"versions": versions, "applied": manifest["applied"] | {stream: epoch}})
+        for b in touched:  # of an older manifest a reader may still hold the version before
+            for v in _versions(spark, path).get(b, ()):
+                if v not in (versions[b], before.get(b)):
+                    _fs(spark, path).delete(_path(spark, f"{path}/bucket={b}/v={v}"), True)
 
     return log.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
 
@@ -59,9 +68,27 @@ def _versions(spark, path: str) -> dict[int, list[int]]:
     return out
 
 
+def _manifest(spark, path: str) -> tuple[int, dict]:
+    """The number of the last manifest and what it says; 0 and nothing before the first."""
+    names = sorted(s.getPath().getName() for s in _fs(spark, path).globStatus(_path(spark, f"{path}/_manifests/*.json")) or [])
+    if not names:
+        return 0, {"versions": {}, "applied": {}}
+    return int(names[-1].split(".")[0]), json.loads(spark.read.text(f"{path}/_manifests/{names[-1]}").first()[0])
+
+
+def _commit(spark, path: str, number: int, manifest: dict) -> None:
+    fs, folder = _fs(spark, path), f"{path}/_manifests"
+    made = fs.create(_path(spark, f"{folder}/.{number:012d}"), True)
+    made.write(bytearray(json.dumps(manifest).encode()))
+    made.close()
+    if not fs.rename(_path(spark, f"{folder}/.{number:012d}"), _path(spark, f"{folder}/{number:012d}.json")):
+        raise OSError(f"manifest {number} of {path} could not be put in place")
+    fs.delete(_path(spark, f"{folder}/{number - 2:012d}.json"), False)
+
+
 def read_compacted(spark, path: str, status: str, active: str = "ACTIVE") -> DataFrame:
-    """The active rows of compact_stream's state: the last version of every bucket."""
-    files = [f"{path}/bucket={b}/v={max(v)}" for b, v in sorted(_versions(spark, path).items())]
+    """The active rows of compact_stream's state: the versions that the last manifest names."""
+    files = [f"{path}/bucket={b}/v={v}" for b, v in _manifest(spark, path)[1]["versions"].items()]
     return spark.read.parquet(*files).where(F.col(status) == active)
 
 
