@@ -44,6 +44,16 @@ ARRIVAL = "conv_id long, turn long, role string, text string, first long, batch
 EVENT = "event string, conv_id long, turn long, batch int, role string, text string, unreleased array<long>, n_missing long, n_breaks long"
 #: Fixed by the contract of the query.
 BATCHES, QUIET = 10, 2
+#: transformWithState needs RocksDB. A commit uploads the changes, not the store; files have no room set aside for
+#: growth (many small stores); a start has one micro-batch, so that timers run with a batch's data and never alone,
+#: and a store that has committed it is of no more use to its executor.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 
 _Arrival = Row("conv_id", "turn", "role", "text", "first", "batch", "kept")
 _Event = Row("event", "conv_id", "turn", "batch", "role", "text", "unreleased", "n_missing", "n_breaks")
@@ -135,12 +145,9 @@ def replay(turns: DataFrame, batches: int = BATCHES, quiet: int = QUIET) -> Data
     spark, folder = turns.sparkSession, scratch(turns.sparkSession)
     dealt(turns, batches).write.partitionBy("batch").parquet(f"{folder}/dealt")
     arrivals = spark.read.schema(ARRIVAL).parquet(f"{folder}/dealt")
-    own = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
-    # one micro-batch a start: timers run with a batch's data, never alone
-    own["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
-    before = {k: spark.conf.get(k, None) for k in own}
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
     try:
-        for k, v in own.items():
+        for k, v in SETTINGS.items():
             spark.conf.set(k, v)
         for batch in range(batches + 1):
             mark = spark.range(1).select(*(F.lit(batch if n == "batch" else None).cast(t).alias(n) for n, t in (x.split() for x in ARRIVAL.split(", "))))
