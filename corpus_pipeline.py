@@ -20,6 +20,9 @@ text, lang and source pass through, and n_chars follows the redacted text.
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quern.llm import decontaminate, mixing, quality, secrets, setjoin
@@ -36,8 +39,9 @@ def _judged(docs: DataFrame, verdicts, bad: str, *held: str) -> DataFrame:
     goes by a hash of the columns it is judged by (nulls told from values)."""
     salt = F.lit("row without an id")
     own = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(salt, *(x for c in held for x in (F.col(c).isNull(), F.col(c)))))
-    out = verdicts(docs.withColumn("doc_id", own)).where(bad).select(F.col("doc_id").alias("bad_row")).distinct()
-    return docs.join(out, own == F.col("bad_row"), "left_anti")
+    name = f"bad_{uuid.uuid4().hex}"  # no column of docs has it
+    out = verdicts(docs.withColumn("doc_id", own)).where(bad).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(out, own == F.col(name), "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +56,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     if again.isEmpty():
         return out
     rest = [c for c in docs.columns if c != "doc_id"]
-    least = out.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
+    # maps and variants have no order; their JSON has
+    order = [F.to_json(F.struct(c)) if re.search("map<|variant", docs.schema[c].dataType.simpleString()) else F.col(c) for c in rest]
+    least = out.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("row"))
     return _without(out, again).unionByName(least.select("doc_id", *(F.col("row").getField(c).alias(c) for c in rest)))
 
 
