@@ -48,3 +48,16 @@ def test_empty_and_odd_rows(spark, tmp_path):
             docs.write.parquet(str(tmp_path / f"{name}{k}"))
             docs = spark.read.parquet(str(tmp_path / f"{name}{k}"))
         assert sorted(str(r.doc_id) for r in docs.collect()) == ([] if name == "none" else ["1", "None"])
+
+
+def test_columns_of_any_name_and_kind(spark, tmp_path):
+    """A column named as an older intermediate one, and a map beside repeated ids."""
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    words = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, words, "en", "s", 3, 7, {"b": 2}), (1, words, "en", "s", 3, 7, {"a": 1}), (2, words + " and some more", "en", "s", 3, None, None), (3, "short", "en", "s", 3, 1, {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, bad_row long, more map<string, int>")
+    for k, (_, stage) in enumerate(C.STAGES[:4]):
+        docs = stage(spark, docs, str(tmp_path))
+        docs.write.parquet(str(tmp_path / f"s{k}"))
+        docs = spark.read.parquet(str(tmp_path / f"s{k}"))
+    assert [(r.doc_id, r.bad_row, r.more) for r in docs.collect()] == [(1, 7, {"a": 1})]
