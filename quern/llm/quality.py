@@ -1,17 +1,24 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches.
 
 Fixed rules of the contract come first (base_failed). The method then replaces
-fixed cutoffs by fences learnt from the corpus: one KLL sketch per language and
-source and feature, merged upwards to languages and to the whole corpus. A
-fence lies SPREAD scales from the group's median, where the scale is
-the group's own distance from the median to its upper (or lower) quartile, so it
-follows what is usual in that language and source and only far outliers go. Two things
-widen a scale: texts shorter than the group's median length vary more (by the root of
-the ratio of lengths), and a ratio of few events has its own sampling noise, the
-root of NOISE over the number of words (lines for dup_line_ratio), which is all the scale
-there is where most of a group has the same value. Nothing else is fixed. Small groups lean on the
-wider ones: a quantile is the mean of the group's own, weighted by its documents, and that of the
-next wider level, weighted by LEAN documents.
+fixed cutoffs by fences learnt from the corpus with KLL sketches per language
+and source, merged upwards to languages and to the whole corpus, in two rounds:
+
+1. Dense features (word_length): quartiles. A fence lies SPREAD scales from the
+   median, where the scale is the distance from the median to the upper (or lower)
+   quartile; texts shorter than the group's median length vary more, by the root of
+   the ratio of lengths. Documents within CORE scales that pass the base are the core.
+2. Sparse features (symbols, repeated lines, repeated words), whose quartiles are 0
+   in most groups: the upper tail (TAILS) of the core alone, so that junk which its
+   word lengths give away doesn't widen the fence against itself. The fence is the
+   higher tail quantile plus its distance from the lower one. A document is beyond it
+   if the lower limit of its own rate is, (sqrt(events) - 1)^2 events in place of
+   what was counted (two standard deviations of a count), so that one event never is.
+
+Small groups lean on the wider ones: a quantile is the mean of the group's own, weighted
+by its documents, and that of the next wider level, weighted by LEAN documents, or TAIL_LEAN
+(ten documents beyond the higher tail quantile) for tails. A group without core documents
+has the wider level's tails; a corpus without any has no tail fence.
 
 Defined results: a null or blank text has no words and fails the base; null
 languages and sources are groups of their own; repeated rows are judged one by
@@ -32,11 +39,13 @@ NEWLINE[10] = True
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8
-SPREAD, LEAN, KLL_K = 8.0, 50, 200
-#: feature -> (sampling noise of one word or line, what is counted, whether low values are outliers too);
-#: a repeated window marks WINDOW words at once
-NOISE = {"symbol_ratio": (0.04, "n_words", False), "dup_line_ratio": (0.04, "n_lines", False), "repeat_ratio": (0.04 * WINDOW, "n_words", False), "word_length": (0.0, "n_words", True)}
-LENGTH, QUANTILES = "length", (0.25, 0.5, 0.75)
+SPREAD, CORE, LEAN = 8.0, 3.0, 50
+LENGTH, QUARTILES = "length", (0.25, 0.5, 0.75)
+TAILS, TAIL_LEAN = (0.9, 0.99), 1000
+#: Rank errors below 0.2 % of the rows, which the tails need; groups of fewer rows than this are exact, so reruns agree.
+KLL_K = 2000
+#: sparse feature -> (events, what they are counted among, how many of these one event marks)
+SPARSE = {"symbol_ratio": ("n_symbols", "n_words", 1), "dup_line_ratio": ("n_dup_lines", "n_lines", 1), "repeat_ratio": ("n_repeat_words", "n_words", WINDOW)}
 
 FEATURES = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
@@ -95,57 +104,89 @@ def quality_features(docs: DataFrame) -> DataFrame:
 
 
 def _ratios(f: DataFrame) -> DataFrame:
-    w = F.greatest(F.col("n_words"), F.lit(1))
-    return f.withColumns({
-        "symbol_ratio": F.col("n_symbols") / w, "dup_line_ratio": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-        "repeat_ratio": F.col("n_repeat_words") / w, "word_length": F.col("word_chars") / w, LENGTH: F.col("n_words").cast("double"),
-    })
+    rate = lambda events, among: F.col(events) / F.greatest(F.col(among), F.lit(1))
+    sparse = {x: rate(events, among) for x, (events, among, _) in SPARSE.items()}
+    return f.withColumns({**sparse, "word_length": rate("word_chars", "n_words"), LENGTH: F.col("n_words").cast("double")})
 
 
-def quantiles(features: DataFrame) -> DataFrame:
-    """(q_lang, q_source, q_<feature> array of QUANTILES): one row per group, small groups leaning on wider ones."""
-    names = [*NOISE, LENGTH]
-    usable = features.where("n_words > 0")
-    sketches = saved(usable.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(F.col(x), F.lit(KLL_K)).alias(x) for x in names)))
+def group_quantiles(features: DataFrame, names: list[str], at: tuple[float, ...], lean: int) -> tuple[DataFrame, DataFrame, list]:
+    """Quantiles `at` of every column of `names`: (by language and source, by language, of the corpus).
 
-    def level(df, tag):
-        read = lambda x: F.array(*(F.kll_sketch_get_quantile_double(F.col(x), F.lit(q)) for q in QUANTILES))
-        return df.select(*[c for c in ("lang", "source") if c in df.columns], F.col("n").alias(f"n{tag}"), *(read(x).alias(f"{x}{tag}") for x in names))
+    The first has own_<x>, the second wide_<x> (already leaning on the corpus), arrays as long as `at`;
+    the last is one list of arrays, None where there are no rows.
+    """
+    sketch = [F.kll_sketch_agg_double(F.col(x), F.lit(KLL_K)).alias(x) for x in names]
+    sketches = saved(features.groupBy("lang", "source").agg(F.count("*").alias("n"), *sketch))
+
+    def read(df, tag, n):
+        values = [F.array(*(F.kll_sketch_get_quantile_double(F.col(x), F.lit(q)) for q in at)).alias(f"{tag}_{x}") for x in names]
+        return df.select(*[c for c in ("lang", "source") if c in df.columns], F.col("n").alias(n), *values)
 
     def merged(*keys):
         return sketches.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(F.col(x)).alias(x) for x in names))
 
-    corpus = level(merged(F.lit(1)), "_c").first()  # one row of a few numbers; none of an empty table
-    lang = level(merged("lang"), "_l").withColumnRenamed("lang", "of_lang")
-    j = level(sketches, "_g").join(lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
+    corpus = read(merged(F.lit(1)), "all", "n").first()  # one row of a few numbers; none of an empty table
+    whole = [corpus[f"all_{x}"] if corpus else None for x in names]
+    wide = read(merged("lang"), "wide", "n_wide")
+    if corpus:
+        wide = wide.withColumns({f"wide_{x}": _lean(f"wide_{x}", "n_wide", F.array(*map(F.lit, w)), lean) for x, w in zip(names, whole, strict=True)})
+    return read(sketches, "own", "n_own"), wide, whole
+
+
+def _lean(own: str, n: str, wider, lean: int):
+    return F.zip_with(F.col(own), wider, lambda a, b: (F.col(n) * a + F.lit(lean) * b) / (F.col(n) + F.lit(lean)))
 
-    def lean(own, n, wider):
-        return F.zip_with(own, wider, lambda a, b: (F.col(n) * a + F.lit(LEAN) * b) / (F.col(n) + F.lit(LEAN)))
 
-    def at(x):
-        whole = F.array(*(F.lit(float(v)) for v in (corpus[f"{x}_c"] if corpus else [0.0] * len(QUANTILES))))
-        return lean(F.col(f"{x}_g"), "n_g", lean(F.col(f"{x}_l"), "n_l", whole)).alias(f"q_{x}")
+def with_quantiles(groups: DataFrame, features: DataFrame, names: list[str], at: tuple[float, ...], lean: int) -> DataFrame:
+    """groups (q_lang, q_source, ...) with q_<x>: its quantiles of `features`, leaning on the wider levels."""
+    own, wide, whole = group_quantiles(features, names, at, lean)
+    j = groups.join(own, F.col("q_lang").eqNullSafe(own["lang"]) & F.col("q_source").eqNullSafe(own["source"]), "left").drop("lang", "source")
+    j = j.join(wide, F.col("q_lang").eqNullSafe(wide["lang"]), "left").drop("lang")
 
-    return j.select(F.col("lang").alias("q_lang"), F.col("source").alias("q_source"), *(at(x) for x in names))
+    def value(x, w):
+        corpus = F.array(*map(F.lit, w)) if w else F.lit(None).cast("array<double>")
+        wider = F.coalesce(F.col(f"wide_{x}"), corpus)
+        return F.coalesce(_lean(f"own_{x}", "n_own", wider, lean), wider).alias(f"q_{x}")
 
+    return j.select(*groups.columns, *(value(x, w) for x, w in zip(names, whole, strict=True)))
 
-def _outlier(x: str):
-    """Name of feature x where it lies beyond a fence of its group."""
-    noise, counted, both = NOISE[x]
-    low, mid, high = (F.element_at(f"q_{x}", k) for k in (1, 2, 3))
+
+def _far(scales: float):
+    """Whether the word length lies more than so many scales from its group's median."""
+    x = F.col("word_length")
+    low, mid, high = (F.element_at("q_word_length", k) for k in (1, 2, 3))
     short = F.sqrt(F.greatest(F.lit(1.0), F.element_at(f"q_{LENGTH}", 2) / F.greatest(F.col("n_words"), F.lit(1))))
-    own = F.sqrt(F.lit(noise) / F.greatest(F.col(counted), F.lit(1)))
-    beyond = F.col(x) - mid > F.lit(SPREAD) * F.greatest((high - mid) * short, own)
-    if both:
-        beyond |= mid - F.col(x) > F.lit(SPREAD) * F.greatest((mid - low) * short, own)
-    return F.when(beyond, F.lit(x))
+    return (x - mid > F.lit(scales) * (high - mid) * short) | (mid - x > F.lit(scales) * (mid - low) * short)
+
+
+def _beyond_tail(x: str):
+    """Whether the lower limit of sparse feature x lies beyond its group's tail fence."""
+    events, among, size = SPARSE[x]
+    root = F.greatest(F.sqrt(F.col(events) / F.lit(size)) - F.lit(1.0), F.lit(0.0))
+    low, high = (F.element_at(f"q_{x}", k) for k in (1, 2))
+    return F.lit(size) * root * root / F.greatest(F.col(among), F.lit(1)) > high + (high - low)
+
+
+def _of_group(f: DataFrame, limits: DataFrame) -> DataFrame:
+    return f.join(limits, f["lang"].eqNullSafe(limits["q_lang"]) & f["source"].eqNullSafe(limits["q_source"]), "left")
+
+
+def _base_failed():
+    return (F.col("n_words") < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(REPEAT_PERCENT) * F.col("n_words"))
+
+
+def fences(f: DataFrame) -> DataFrame:
+    """(q_lang, q_source, q_<feature>): quartiles of the dense features, tails of the sparse ones among the core."""
+    usable = f.where("n_words > 0")
+    groups = usable.select(F.col("lang").alias("q_lang"), F.col("source").alias("q_source")).distinct()
+    dense = saved(with_quantiles(groups, usable, ["word_length", LENGTH], QUARTILES, LEAN))
+    core = _of_group(usable, maybe_broadcast(dense)).where(~_base_failed() & ~_far(CORE)).select("lang", "source", *SPARSE)
+    return saved(with_quantiles(dense, core, list(SPARSE), TAILS, TAIL_LEAN))
 
 
 def quality_verdicts(docs: DataFrame) -> DataFrame:
     """One row per document: features, base_failed, kept and the features out of their fences."""
     f = _ratios(saved(quality_features(docs)))
-    limits = maybe_broadcast(saved(quantiles(f)))
-    j = f.join(limits, f["lang"].eqNullSafe(limits["q_lang"]) & f["source"].eqNullSafe(limits["q_source"]), "left")
-    base = (F.col("n_words") < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(REPEAT_PERCENT) * F.col("n_words"))
-    j = j.withColumn("base_failed", base).withColumn("outlier_in", F.array_join(F.array_compact(F.array(*(_outlier(x) for x in NOISE))), ","))
+    out = [*(F.when(_beyond_tail(x), F.lit(x)) for x in SPARSE), F.when(_far(SPREAD), F.lit("word_length"))]
+    j = _of_group(f, maybe_broadcast(fences(f))).withColumn("base_failed", _base_failed()).withColumn("outlier_in", F.array_join(F.array_compact(F.array(*out)), ","))
     return j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("outlier_in") == "")).alias("kept"), "outlier_in")

@@ -97,38 +97,45 @@ def quality(t):
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), dup, len(cover), len(w) < 20 or 100 * len(cover) > 30 * len(w)
 
 
-def fenced(rows, spread, lean):
+def fenced(rows, spread, core_spread, lean, tails, tail_lean):
     """Names of the features beyond their fences, from exact quantiles of the rows (id, text, lang, source)."""
     feats = {}
     for i, t, _, _ in rows:
-        n, chars, symbols, dup, repeat, _ = quality(t)
+        n, chars, symbols, dup, repeat, failed = quality(t)
         lines = sum(bool(WORD.search(x)) for x in (t or "").split("\n"))
-        feats[i] = {"symbol_ratio": symbols / max(n, 1), "dup_line_ratio": dup / max(lines, 1), "repeat_ratio": repeat / max(n, 1), "word_length": chars / max(n, 1), "n": n, "lines": lines}
+        counts = {"symbol_ratio": (symbols, n, 1), "dup_line_ratio": (dup, lines, 1), "repeat_ratio": (repeat, n, 8)}
+        feats[i] = {"counts": counts, "word_length": chars / max(n, 1), "n": n, "failed": failed, **{f: k / max(of, 1) for f, (k, of, _) in counts.items()}}
 
-    def quants(ids):
-        out = {}
-        for f in ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "word_length", "n"):
-            x = sorted(feats[i][f] for i in ids)
-            out[f] = [x[max(0, math.ceil(q * len(x)) - 1)] for q in (0.25, 0.5, 0.75)]
-        return out
+    def quants(ids, names, at):
+        sort = {f: sorted(feats[i][f] for i in ids) for f in names}
+        return {f: [x[max(0, math.ceil(q * len(x)) - 1)] for q in at] for f, x in sort.items()}
 
-    def mean(own, k, wider):
-        return {f: [(k * a + lean * b) / (k + lean) for a, b in zip(own[f], wider[f], strict=True)] for f in own}
+    def fitted(some, names, at, weight):
+        def mean(own, wider):
+            if not own:
+                return wider
+            q = quants(own, names, at)
+            return {f: [(len(own) * a + weight * b) / (len(own) + weight) for a, b in zip(q[f], wider[f], strict=True)] for f in names}
+
+        corpus = quants([i for i, *_ in some], names, at)
+        return lambda lang, source: mean([i for i, a, b in some if (a, b) == (lang, source)], mean([i for i, a, _ in some if a == lang], corpus))
 
     some = [(i, lang, source) for i, _, lang, source in rows if feats[i]["n"]]
-    corpus, out = quants([i for i, *_ in some]), {}
+    dense = fitted(some, ("word_length", "n"), (0.25, 0.5, 0.75), lean)
+
+    def far(i, lang, source, scales):
+        x, q = feats[i], dense(lang, source)
+        (low, mid, high), short = q["word_length"], math.sqrt(max(1, q["n"][1] / max(x["n"], 1)))
+        return x["word_length"] - mid > scales * (high - mid) * short or mid - x["word_length"] > scales * (mid - low) * short
+
+    tail = fitted([x for x in some if not feats[x[0]]["failed"] and not far(*x, core_spread)], ("symbol_ratio", "dup_line_ratio", "repeat_ratio"), tails, tail_lean)
+    out = {}
     for i, _, lang, source in rows:
-        x, own = feats[i], [j for j, a, b in some if (a, b) == (lang, source)]
-        wide = [j for j, a, _ in some if a == lang]
-        q = mean(quants(own), len(own), mean(quants(wide), len(wide), corpus))
-        short = math.sqrt(max(1, q["n"][1] / max(x["n"], 1)))
-        bad = []
-        for f, noise, n in (("symbol_ratio", 0.04, x["n"]), ("dup_line_ratio", 0.04, x["lines"]), ("repeat_ratio", 0.32, x["n"]), ("word_length", 0, 1)):
-            low, mid, high = q[f]
-            above = x[f] - mid > spread * max((high - mid) * short, math.sqrt(noise / max(n, 1)))
-            below = f == "word_length" and mid - x[f] > spread * (mid - low) * short
-            bad += [f] * (above or below)
-        out[i] = ",".join(bad)
+        q, bad = tail(lang, source), []
+        for f, (k, of, size) in feats[i]["counts"].items():
+            if size * max(math.sqrt(k / size) - 1, 0) ** 2 / max(of, 1) > 2 * q[f][1] - q[f][0]:
+                bad.append(f)
+        out[i] = ",".join([*bad, *["word_length"] * far(i, lang, source, spread)])
     return out
 
 

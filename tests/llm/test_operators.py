@@ -94,9 +94,9 @@ def test_quality(spark, rows, docs):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute.quality(t)
         assert not (r.kept and r.base_failed)
     assert quality.quality_verdicts(empty(spark)).count() == 0
-    junk = [(i, " ".join(["word%d" % ((i + 1) * k) for k in range(30)]) + ("#|" * 60 if i == 7 else ""), None, None) for i in range(300)]
+    junk = [(i, " ".join([("word%d" if i else "wo%d") % ((i + 1) * k) for k in range(30)]) + ("#|" * 60 if i == 7 else ""), None, None) for i in range(300)]
     got = by_id(quality.quality_verdicts(spark.createDataFrame(junk, "doc_id long, text string, lang string, source string")))
-    # fences lie on both sides: text 0 (word0 to word29) has by far the shortest words
+    # fences lie on both sides: text 0 (wo0 to wo29) has by far the shortest words, 15 scales below the median
     assert {i: r.outlier_in.split(",")[0] for i, r in got.items() if not r.kept} == {0: "word_length", 7: "symbol_ratio"}
 
 
@@ -115,10 +115,35 @@ def test_quality_fences_against_exact_quantiles(spark):
             words = [w[:1] for w in words]
         text = "\n".join(" ".join(words[k : k + 10]) for k in range(0, len(words), 10))
         rows.append((i, text + ("\nsame line here" * 12 if i % 23 == 0 else ""), lang, source))
-    want = brute.fenced(rows, quality.SPREAD, quality.LEAN)
+    want = brute.fenced(rows, quality.SPREAD, quality.CORE, quality.LEAN, quality.TAILS, quality.TAIL_LEAN)
     got = by_id(quality.quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")))
     assert {i: x.outlier_in for i, x in got.items()} == want
-    assert {f for x in want.values() for f in x.split(",")} >= {"symbol_ratio", "dup_line_ratio", "word_length"}
+    # one row in 17 has symbols and one in 23 repeated lines: more than the tail beyond the fence, so these are usual here
+    assert {f for x in want.values() for f in x.split(",")} >= {"repeat_ratio", "word_length"}
+
+
+def test_quality_tails_follow_their_group(spark):
+    """The same symbols are usual in one source and junk in another; rare repeated lines go, one repeat doesn't."""
+    r = random.Random(31)
+    rows, junk = [], {"symbol_ratio": set(), "dup_line_ratio": set()}
+    for i in range(6000):
+        source = "code" if i % 2 else "news"
+        words = ["".join(r.choice(string.ascii_lowercase) for _ in range(r.choice([4, 5, 5, 6]))) for _ in range(r.choice([80, 120, 200]))]
+        if source == "code" or i % 400 == 0:
+            for k in range(0, len(words), 4):
+                words[k] = words[k][:-1] + r.choice("#$|&")
+            junk["symbol_ratio"] |= {i} if source == "news" else set()
+        lines = [" ".join(words[k : k + 10]) for k in range(0, len(words), 10)]
+        if i % 500 == 2:
+            lines += ["again"] * 24
+            junk["dup_line_ratio"].add(i)
+        elif i % 10 == 4:
+            lines += ["again", "again"]
+        rows.append((i, "\n".join(lines), "en", source))
+    got = by_id(quality.quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")))
+    for f, planted in junk.items():
+        assert {i for i, x in got.items() if f in x.outlier_in.split(",")} == planted
+    assert sum(not x.kept for x in got.values()) <= 40
 
 
 def test_warc(spark):
