@@ -1,17 +1,20 @@
 """Secret scans: fixed base patterns plus a battery of randomness tests.
 
 Base patterns (assign, access, hex) are the contract's. The method looks at
-every other run of 16 or more token characters: it infers the run's encoding
-(decimal, hex, base32, base36 or base64 alphabet) and tests it against a
-uniform random source with a chi-squared test of the alphabet, a runs test and
-a serial-correlation test, combined by Fisher's method. What ordinary text
-gives by chance is read from the corpus itself: letter-only runs (long words)
-form the null sample, in length bands (a band of under MIN_NULL words takes in
-the next shorter ones, whose words look more random). A candidate (letters and digits mixed, or
-letters whose case changes inside, so that it can carry a key; runs of digits alone are the base's)
-gets a conformal p-value from its band and the
-Benjamini-Hochberg rule at level FDR decides band by band. Both samples are
-mergeable histograms of LEVELS x bands cells, whatever the corpus size.
+every other run of 16 or more token characters that holds a letter (runs of digits alone are
+the base's): it infers the run's encoding (hex, letters of one or two cases, base36 or
+base64 alphabet) and tests it against a uniform random source of that alphabet with a
+chi-squared test of the counts, a runs test and two serial tests, plain lag-1 correlation and
+correlation as the corpus has it: the mean log-likelihood of successive characters under the
+bigrams of all runs of the corpus, whose mean and variance under the uniform source
+are exact. Fisher's method combines the four.
+
+What ordinary text gives by chance comes from these bigrams too: SIMULATED runs a length
+band, drawn from the chain, are tested alike, with an exponential tail beyond TAIL of them. No
+run is taken for ordinary by its alphabet: keys enter the bigrams by their share of the
+characters only. A candidate gets its p-value from its band and the Benjamini-Hochberg rule at level
+FDR decides band by band. Bigram counts and candidates are mergeable histograms of fixed
+size, whatever the corpus size.
 
 Defined results: null or empty texts have no spans; positions are code points,
 ends exclusive; added spans never overlap base spans; repeated rows are
@@ -35,8 +38,10 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS, HEX = re.compile(rb"AKIA[A-Z0-9]+"), re.compile(rb"[0-9a-f]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 KINDS = ("assign", "access", "hex", "random")
-MIN_RUN, LEVELS, FDR, MIN_NULL = 16, 64, 0.05, 1000
-BANDS = (16, 20, 24, 32, 48, 64)  # lower ends of the length bands
+MIN_RUN, LEVELS, FDR = 16, 64, 0.05
+BANDS = (16, 18, 20, 24, 28, 32, 40, 48, 64)  # lower ends of the length bands
+SIMULATED, TAIL, DECADES, SEED = 20_000, 0.01, 12, 20240101
+FOLDED = 37  # 0-9, letters of either case, others
 
 IN_RUN = np.zeros(256, bool)
 IN_RUN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
@@ -48,14 +53,52 @@ CODE = np.full(256, 63, np.int64)  # place in 0-9 a-z A-Z others
 CODE[list(b"0123456789")] = np.arange(10)
 CODE[list(b"abcdefghijklmnopqrstuvwxyz")] = np.arange(10, 36)
 CODE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")] = np.arange(36, 62)
+FOLD = np.where(CODE >= 62, 36, np.where(CODE >= 36, CODE - 26, CODE))
+#: alphabet size -> how often a uniform source of it gives each folded character
+ALPHABETS = {16: [1] * 16 + [0] * 21, 26: [0] * 10 + [1] * 26 + [0], 36: [1] * 36 + [0], 52: [0] * 10 + [2] * 26 + [0], 64: [1] * 10 + [2] * 27}
 
 
 def _upper_tail(z: np.ndarray) -> np.ndarray:
     return np.array([0.5 * math.erfc(x / math.sqrt(2)) for x in z.tolist()])
 
 
-def battery(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(combined p-value of randomness, union of character classes) per run."""
+def run_pairs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(folded pair, run) of every two successive characters of the runs."""
+    n = np.maximum(ends - starts - 1, 0)
+    owner = np.repeat(np.arange(len(n)), n)
+    at = np.repeat(starts - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum())) if len(n) else np.zeros(0, np.int64)
+    return FOLD[data[at]] * FOLDED + FOLD[data[at + 1]], owner
+
+
+class Bigrams:
+    """Log-likelihood of a character after another, and its moments under uniform sources."""
+
+    def __init__(self, counts: np.ndarray):
+        table = counts.reshape(FOLDED, FOLDED).astype(float) + 0.5
+        self.chain = table / table.sum(1, keepdims=True)
+        self.start = table.sum(1) / table.sum()
+        self.score = np.log(self.chain)
+        self.moments = {}
+        for size, weights in ALPHABETS.items():
+            w = np.array(weights, float) / sum(weights)
+            mean = w @ self.score @ w
+            dev = self.score - mean
+            # successive pairs share a character: two neighbours' covariance counts twice
+            self.moments[size] = (mean, w @ dev**2 @ w, (w * (w @ dev) * (dev @ w)).sum())
+
+    def simulate(self, length: int, runs: int, seed: int) -> np.ndarray:
+        """Runs drawn from the chain, as rows of lower-case bytes."""
+        rng, steps = np.random.default_rng(seed), self.chain.cumsum(1)
+        now = np.searchsorted(self.start.cumsum() / self.start.sum(), rng.random(runs))
+        out = [now]
+        for _ in range(length - 1):
+            now = np.minimum((steps[now] < rng.random((runs, 1))).sum(1), FOLDED - 1)
+            out.append(now)
+        return np.frombuffer(b"0123456789abcdefghijklmnopqrstuvwxyz-", np.uint8)[np.stack(out, 1)]
+
+
+def battery(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bigrams: Bigrams) -> tuple[np.ndarray, np.ndarray]:
+    """(log10 of the combined p-value of randomness, union of character classes) per run."""
     n = ends - starts
     if not len(n):
         return np.zeros(0), np.zeros(0, np.uint8)
@@ -65,11 +108,14 @@ def battery(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     owner = np.repeat(np.arange(len(n)), n)
     chars = data[at]
     kinds = np.bitwise_or.reduceat(CLASS[chars], first)
-    code = CODE[chars]
     # inferred encoding: alphabet size, and codes folded to one case where one case only is used
-    size = np.where(kinds == 1, 10, np.where((kinds & ~np.uint8(3)) == 0, 16, np.where((kinds & ~np.uint8(9)) == 0, 16, np.where((kinds & ~np.uint8(7)) == 0, 36, np.where((kinds & ~np.uint8(25)) == 0, 36, 64)))))
-    upper_only = (size[owner] < 64) & (code >= 36)
-    code = np.where(upper_only, code - 26, code)
+    digit, other = (kinds & 1) > 0, (kinds & 32) > 0
+    lower, upper = (kinds & 6) > 0, (kinds & 24) > 0
+    hexed = ~other & ((kinds & 20) == 0) & ~(lower & upper)
+    size = np.where(other | (digit & lower & upper), 64, np.where(hexed, 16, np.where(lower & upper, 52, np.where(digit, 36, 26))))
+    code = CODE[chars]
+    code = np.where((size[owner] < 52) & (code >= 36), code - 26, code)
+    code = np.where((size[owner] == 26) | (size[owner] == 52), code - 10, code)
     k, m = size.astype(float), n.astype(float)
     counts = np.bincount(owner * 64 + code, minlength=64 * len(n)).reshape(-1, 64).astype(float)
     chi = (counts**2).sum(1) * k / m - m
@@ -87,25 +133,69 @@ def battery(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     lag[1:] = mid[1:] * mid[:-1] * (owner[1:] == owner[:-1])
     r = np.add.reduceat(lag, first) / np.maximum(np.add.reduceat(mid * mid, first), 1e-9)
     p3 = 2 * _upper_tail(np.abs(r + 1 / m) * np.sqrt(m))
-    x = -2 * (np.log(np.clip(p1, 1e-12, 1)) + np.log(np.clip(p2, 1e-12, 1)) + np.log(np.clip(p3, 1e-12, 1)))
-    return np.exp(-x / 2) * (1 + x / 2 + x * x / 8), kinds
-
-
-def _cell(p: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """band * LEVELS + level; level 0 looks least random."""
-    level = np.clip(((1 + np.log10(np.clip(p, 1e-12, 1)) / 12) * LEVELS).astype(int), 0, LEVELS - 1)
-    return (np.searchsorted(BANDS, n, "right") - 1) * LEVELS + level
+    pair, of = run_pairs(data, starts, ends)
+    score = np.bincount(of, bigrams.score.ravel()[pair], minlength=len(n))
+    mean, var, shared = (np.array([bigrams.moments[x][i] for x in size.tolist()]) for i in range(3))
+    spread = np.maximum((m - 1) * var + 2 * (m - 2) * shared, 1e-9)
+    p4 = _upper_tail((score - (m - 1) * mean) / np.sqrt(spread))
+    half = -sum(np.log(np.clip(p, 1e-60, 1)) for p in (p1, p2, p3, p4))  # half of Fisher's statistic, eight degrees of freedom
+    return (np.log(1 + half + half**2 / 2 + half**3 / 6) - half) / math.log(10), kinds
+
+
+def _level(log_p: np.ndarray) -> np.ndarray:
+    """0 looks least random."""
+    return np.clip(((1 + log_p / DECADES) * LEVELS).astype(int), 0, LEVELS - 1)
+
+
+def _cell(log_p: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """band * LEVELS + level."""
+    return (np.searchsorted(BANDS, n, "right") - 1) * LEVELS + _level(log_p)
+
+
+def null_survival(bigrams: Bigrams) -> list[list[float]]:
+    """Per band and level, how often ordinary text of the band's least length looks at least so random."""
+    out = []
+    for band, length in enumerate(BANDS):
+        data = bigrams.simulate(length, SIMULATED, SEED + band).ravel()
+        starts = np.arange(SIMULATED, dtype=np.int64) * length
+        log_p = np.sort(battery(data, starts, starts + length, bigrams)[0])
+        cut = log_p[int(SIMULATED * (1 - TAIL))]
+        excess = max(float((log_p[log_p > cut] - cut).mean()) if log_p[-1] > cut else 0.0, DECADES / LEVELS)
+        at = (np.arange(LEVELS) / LEVELS - 1) * DECADES  # least log p of a level
+        seen = 1 - np.searchsorted(log_p, at) / SIMULATED
+        kept = np.where(at > cut, TAIL * np.exp(-np.maximum(at - cut, 0) / excess), np.maximum(seen, TAIL))
+        kept[0] = 1.0  # the lowest level holds all below it
+        out.append(kept.tolist())
+    return out
 
 
 def _line(spans) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2])))
 
 
-SCAN = "doc_id long, n_assign long, n_access long, n_hex long, base string, extra array<struct<s:long,e:long,cell:int>>, null_cells array<int>"
+SCAN = "doc_id long, n_assign long, n_access long, n_hex long, base string, extra array<struct<s:long,e:long,cell:int>>"
 _EXTRA = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64()), ("cell", pa.int32())]))
 
 
-def _scan(batches):
+def _pair_counts(batches):
+    total = np.zeros(FOLDED * FOLDED, np.int64)
+    for b in pieces(batches):
+        data, offsets = K.string_buffers(b.column("text"))
+        starts, ends, _ = K.word_bounds(data, offsets, ~IN_RUN)
+        total += np.bincount(run_pairs(data, starts, ends)[0], minlength=len(total))
+    found = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found], pa.int64())], ["pair", "n"])
+
+
+def corpus_bigrams(texts: DataFrame) -> Bigrams:
+    """Of all runs of every whole text, which keys are a small share of."""
+    counts = np.zeros(FOLDED * FOLDED, np.int64)
+    for pair, n in texts.select("text").mapInArrow(_pair_counts, "pair int, n long").groupBy("pair").agg(F.sum("n")).collect():  # FOLDED^2 rows at most
+        counts[pair] = n
+    return Bigrams(counts)
+
+
+def _scan(batches, bigrams: Bigrams):
     for b in pieces(batches):
         data, offsets = K.string_buffers(b.column("text"))
         rows = b.num_rows
@@ -114,16 +204,10 @@ def _scan(batches):
         long_runs = np.flatnonzero(ends - starts >= MIN_RUN)
         starts, ends = starts[long_runs], ends[long_runs]
         doc = np.searchsorted(offsets, starts, "right") - 1
-        p, kinds = battery(data, starts, ends)
-        cells = _cell(p, ends - starts)
+        log_p, kinds = battery(data, starts, ends, bigrams)
+        cells = _cell(log_p, ends - starts)
         digit = (kinds & 1) > 0
-        letter = (kinds & 30) > 0
-        upper = np.concatenate([[0], np.cumsum((data >= 65) & (data <= 90))])
-        inner = upper[ends] - upper[np.minimum(starts + 1, ends)]  # capitals after the first letter
-        mixed = letter & ~digit & (inner > 0) & ((kinds & 6) > 0)
-        candidate = letter & (digit | mixed)
-        null = letter & ~digit & ~mixed & ((kinds & 32) == 0)
-        null_cells = np.bincount(cells[null], minlength=len(BANDS) * LEVELS)
+        candidate = (kinds & 30) > 0
         point = {}
 
         def points(d, offset):
@@ -145,8 +229,9 @@ def _scan(batches):
                 for m in pattern.finditer(run):
                     if m.end() - m.start() >= LEAST[kind]:
                         spans.setdefault(d, []).append((kind, points(d, a + m.start()), points(d, a + m.end())))
-            if candidate[i]:
-                extra.setdefault(d, []).append({"s": points(d, a), "e": points(d, int(ends[i])), "cell": int(cells[i])})
+        for i in np.flatnonzero(candidate).tolist():
+            d = int(doc[i])
+            extra.setdefault(d, []).append({"s": points(d, int(starts[i])), "e": points(d, int(ends[i])), "cell": int(cells[i])})
         # hex runs of lower-case letters can lie inside words of other letters
         for i in np.flatnonzero(~(digit | ((kinds & 24) > 0) | ((kinds & ~np.uint8(3)) == 0) | ((kinds & 32) > 0))).tolist():
             run = data[starts[i] : ends[i]].tobytes()
@@ -158,29 +243,21 @@ def _scan(batches):
             base = [(s, e) for _, s, e in spans.get(d, ())]
             extra[d] = [x for x in found if not any(s < x["e"] and x["s"] < e for s, e in base)]
         count = lambda kind: pa.array([sum(k == kind for k, _, _ in spans.get(d, ())) for d in range(rows)], pa.int64())
-        nulls = np.repeat(np.arange(len(null_cells)), null_cells)
         yield pa.RecordBatch.from_arrays([
             b.column("doc_id"), count("assign"), count("access"), count("hex"), pa.array([_line(spans.get(d, ())) for d in range(rows)], pa.string()),
-            pa.array([extra.get(d, []) for d in range(rows)], _EXTRA), pa.array([nulls.tolist(), *[[]] * (rows - 1)], pa.list_(pa.int32())),
-        ], [c.split()[0] for c in ("doc_id", "n_assign", "n_access", "n_hex", "base", "extra", "null_cells")])
+            pa.array([extra.get(d, []) for d in range(rows)], _EXTRA),
+        ], ["doc_id", "n_assign", "n_access", "n_hex", "base", "extra"])
 
 
-def admitted_levels(null: dict[int, int], cand: dict[int, int], fdr: float = FDR) -> dict[int, int]:
-    """band -> least admitted level, by Benjamini-Hochberg on conformal p-values."""
-    out, own = {}, null
+def admitted_levels(survival: list[list[float]], cand: dict[int, int], fdr: float = FDR) -> dict[int, int]:
+    """band -> least admitted level, by the Benjamini-Hochberg rule."""
+    out = {}
     for band in range(len(BANDS)):
-        pooled, n_null = [0] * LEVELS, 0
-        for b in range(band, -1, -1):
-            if n_null < MIN_NULL:
-                pooled = [p + own.get(b * LEVELS + x, 0) for x, p in enumerate(pooled)]
-                n_null = sum(pooled)
-        null = {band * LEVELS + x: p for x, p in enumerate(pooled)}
         n_cand = sum(cand.get(band * LEVELS + x, 0) for x in range(LEVELS))
-        above_null = above = 0
+        above = 0
         for level in range(LEVELS - 1, -1, -1):
-            above_null += null.get(band * LEVELS + level, 0)
             above += cand.get(band * LEVELS + level, 0)
-            if above and (1 + above_null) / (1 + n_null) <= fdr * above / n_cand:
+            if above and survival[band][level] <= fdr * above / n_cand:
                 out[band] = level
     return out
 
@@ -199,34 +276,39 @@ def _finish(limits: dict[int, int]):
     return run
 
 
-def _tally(df: DataFrame) -> dict[int, int]:
-    return {r[0]: r[1] for r in df.groupBy("cell").count().collect()}  # at most bands x LEVELS rows
+def _limits(cells: DataFrame, bigrams: Bigrams, fdr: float) -> dict[int, int]:
+    """Of a column `cell` with the cells of all candidates."""
+    tally = {r[0]: r[1] for r in cells.groupBy("cell").count().collect()}  # at most bands x LEVELS rows
+    return admitted_levels(null_survival(bigrams), tally, fdr)
 
 
-def _limits(found: DataFrame, fdr: float) -> dict[int, int]:
-    null = _tally(found.select(F.explode("null_cells").alias("cell")))
-    return admitted_levels(null, _tally(found.select(F.explode("extra.cell").alias("cell"))), fdr)
+def _scanner(bigrams: Bigrams):
+    return lambda batches: _scan(batches, bigrams)
 
 
 def secret_spans(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """One row per document: counts, digest of the base spans, all spans."""
-    found = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan, SCAN))
-    return found.mapInArrow(_finish(_limits(found, fdr)), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    bigrams = corpus_bigrams(own)
+    found = saved(own.mapInArrow(_scanner(bigrams), SCAN))
+    limits = _limits(found.select(F.explode("extra.cell").alias("cell")), bigrams, fdr)
+    return found.mapInArrow(_finish(limits), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
 def redact_documents(docs: DataFrame, *, text_col: str = "text", chars_col: str = "n_chars", fdr: float = FDR) -> DataFrame:
     """docs with the secrets of each row's text replaced where they stand, whatever its
     other columns hold; chars_col, if there is one, follows the text. The levels
-    are learnt in a first pass; the second scans and redacts a row at once, without a join."""
+    are learnt in two passes; the third scans and redacts a row at once, without a join."""
     own = docs.select(F.lit(None).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    limits = _limits(saved(own.mapInArrow(_scan, SCAN).select("extra.cell", "null_cells").where("size(cell) + size(null_cells) > 0").withColumn("extra", F.transform("cell", lambda c: F.struct(c.alias("cell"))))), fdr)
+    bigrams = corpus_bigrams(own)
+    limits = _limits(own.mapInArrow(_scanner(bigrams), SCAN).select(F.explode("extra.cell").alias("cell")), bigrams, fdr)
     names, finish = docs.columns, _finish(limits)
 
     def run(batches):
         for b in pieces(batches, text_col):
             i = b.schema.get_field_index(text_col)
             seen = pa.RecordBatch.from_arrays([pa.nulls(b.num_rows, pa.int64()), b.column(i)], ["doc_id", "text"])
-            spans = [s for out in finish(_scan([seen])) for s in out.column("spans").to_pylist()]
+            spans = [s for out in finish(_scan([seen], bigrams)) for s in out.column("spans").to_pylist()]
             texts = [redact(t, s) for t, s in zip(b.column(i).to_pylist(), spans, strict=True)]
             out = b.set_column(i, text_col, pa.array(texts, pa.string()))
             j = out.schema.get_field_index(chars_col)

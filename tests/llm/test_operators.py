@@ -251,6 +251,30 @@ def test_randomness_battery_by_alphabet_and_length(spark):
     assert sum("random" in got[i].spans for i in range(1500)) <= 15
 
 
+@pytest.mark.parametrize("letter_keys", [0, 300])
+def test_randomness_battery_recall(spark, letter_keys):
+    """At least 0.9 for each alphabet and length from 20 characters among pronounceable long words, also where
+    one long run in twenty is a key of letters of one case; at most FDR of the added spans (twice, for chance) are words."""
+    r = random.Random(18)
+    syllables = [a + b + c for a in "bdfglmnprst" for b in "aeiou" for c in ("", "n", "r", "s")]
+    word = lambda: "".join(r.choice(syllables) for _ in range(r.randrange(1, 16)))
+    rows = [(i, " ".join(word() for _ in range(20))) for i in range(1200)]
+    planted = []
+    alphabets = {"base64": string.ascii_letters + string.digits + "+/", "upper hex": "0123456789ABCDEF", "base36": string.ascii_lowercase + string.digits, "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "mixed": string.ascii_letters, "lower": string.ascii_lowercase, "upper": string.ascii_uppercase}
+    for name, alphabet in alphabets.items():
+        for n in (20, 32, 40, 64):
+            planted += [((name, n), "".join(r.choice(alphabet) for _ in range(n))) for _ in range(20)]
+    planted += [(("lower", "more"), "".join(r.choice(string.ascii_lowercase) for _ in range(r.randrange(20, 50)))) for _ in range(letter_keys)]
+    rows += [(10_000 + k, f"see {key} end") for k, (_, key) in enumerate(planted)]
+    got = by_id(secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")))
+    by = {}
+    for k, (cell, key) in enumerate(planted):
+        by.setdefault(cell, []).append(f"random:4:{4 + len(key)}" in got[10_000 + k].spans)
+    assert all(sum(h) >= 0.9 * len(h) for h in by.values()), by
+    false = sum(got[i].spans.count("random") for i in range(1200))
+    assert false <= 2 * secrets.FDR * len(planted)
+
+
 def test_redact():
     assert secrets.redact("ab token=x cd", "assign:3:10") == "ab [ASSIGN] cd"
     assert secrets.redact("abcdef", "assign:0:4,hex:2:6") == "[ASSIGN]" and secrets.redact(None, "") is None
