@@ -146,6 +146,16 @@ def test_quality_tails_follow_their_group(spark):
     assert sum(not x.kept for x in got.values()) <= 40
 
 
+def test_quality_without_core_or_text(spark):
+    """No document passes the base, only nulls and blanks, one group without core documents; clashing names beside."""
+    schema = "doc_id long, text string, lang string, source string, q_lang string, n_own int, cell int"
+    few, none, plain = (1, "few words", None, None, "x", 1, 2), (None,) * 7, (2, " ".join(f"word{k}" for k in range(40)), "b", "c", "x", 1, 2)
+    for rows, want in (([few] * 3, [(1, False, "")] * 3), ([none, (1, "", "a", "b", "x", 1, 2)], [(1, False, ""), (None, False, "")]), ([(1, "#$ " * 4, "a", None, "x", 1, 2), plain], [(1, False, "symbol_ratio"), (2, True, "")])):
+        df = spark.createDataFrame(rows, schema)
+        assert sorted(((r.doc_id, r.kept, r.outlier_in) for r in quality.quality_verdicts(df).collect()), key=str) == want
+        assert [r.spans for r in secrets.secret_spans(df).collect()] == [""] * len(rows) and secrets.redact_documents(df).count() == len(rows)
+
+
 def test_warc(spark):
     r = random.Random(2)
     big = "".join(r.choice(string.printable) for _ in range(40_000))
