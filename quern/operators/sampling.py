@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..sources.tables import shared_folder
 from .accounts import employee_band
 
 
@@ -69,9 +72,14 @@ def first_per_host(df: DataFrame, key: str, host: Column, n: int, seed, seen: Da
 
 
 def chunks(df: DataFrame, key: str, size: int) -> DataFrame:
-    """Fixed-size batches in key order, by range-partitioned places."""
-    w = W.partitionBy("_part").orderBy(key)
-    parts = df.repartitionByRange(key).withColumn("_part", F.spark_partition_id())
+    """Fixed-size batches in key order, by range-partitioned places.
+
+    The ranges' bounds come from a sample that every run of a plan draws anew, and the
+    count of a range has other columns than its rows; so rows and their range are written
+    once, and both read from there."""
+    spark, path, w = df.sparkSession, f"{shared_folder(df.sparkSession)}/ranges-{uuid.uuid4().hex}", W.partitionBy("_part").orderBy(key)
+    df.repartitionByRange(key).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    parts = spark.read.parquet(path)
     counts = parts.groupBy("_part").agg(F.count("*").alias("k")).withColumn("one", F.lit(1))
     ahead = counts.select("_part", (F.sum("k").over(W.partitionBy("one").orderBy("_part")) - F.col("k")).alias("ahead"))
     return parts.join(F.broadcast(ahead), "_part").withColumn("chunk", F.floor((F.col("ahead") + F.row_number().over(w) - 1) / size)).drop("_part", "ahead")

@@ -93,3 +93,20 @@ def test_resumed_runs(spark, tmp_path):
     want = [i for i in range(95) if i not in (5, 7)]
     assert got == [(i, k // 10) for k, i in enumerate(want) if i % 10 != 9]
     assert {r.chunk: (r.n_rows, r.n_results) for r in U.ledger(spark, path).collect()}[9] == (3, 3)
+
+
+def test_chunks_over_sampled_ranges(spark):
+    """Bounds of the ranges come from samples; the key's count and the rows must still agree."""
+    from quern.operators import sampling as S
+
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.execution.rangeExchange.sampleSizePerPartition": "2"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = spark.range(20_000).selectExpr("id * 7919 % 20011 AS id", "concat('n', id) AS name").coalesce(1)
+        got = sorted((r.id, r.chunk) for r in S.chunks(rows, "id", 100).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [c for _, c in got] == [i // 100 for i in range(20_000)]
