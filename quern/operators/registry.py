@@ -96,8 +96,10 @@ def spread_sample(rows: DataFrame, key: str, owner: str, stratum: Column, n: int
 
     d = rows.select(F.col(key).cast("string").alias("k"), F.col(owner).cast("string").alias("o"), stratum.alias("s"))
     d = d.withColumn("r", hash_rank(F.col("k"), seed)).withColumn("sr", hash_rank(F.col("s"), seed))
-    best = d.withColumn("_o", F.row_number().over(W.partitionBy("s", "o").orderBy("r"))).withColumn("_n", F.row_number().over(W.partitionBy("s").orderBy("r")))
-    best = best.withColumn("_f", F.when(F.col("_o") == 1, F.row_number().over(W.partitionBy("s", F.col("_o") == 1).orderBy("r")))).where((F.col("_n") <= n) | (F.col("_f") <= n))
+    # each list is ranked for itself: then every task passes on its n best of a stratum, and no task sorts a stratum
+    first = d.groupBy("s", "o").agg(F.min("r").alias("r"), F.min_by("k", "r").alias("k"), F.first("sr").alias("sr"))
+    cut = lambda x: x.withColumn("_n", F.row_number().over(W.partitionBy("s").orderBy("r"))).where(F.col("_n") <= n).select("k", "o", "s", "r", "sr")
+    best = cut(d).unionByName(cut(first)).distinct()
 
     def turns(key, t):
         strata: dict = {}
