@@ -27,11 +27,13 @@ def roles(body: Column) -> Column:
 
 def leaders(found: Column) -> Column:
     """struct(chair, ceo, board): the first active chair and chief, the sorted distinct board; a missing code goes by its description."""
-    live = F.filter(found, lambda r: ~r["inactive"] & r["name"].isNotNull())
-    code = lambda r: F.upper(F.coalesce(r["role_code"], F.lit("")))
-    said = lambda r: F.lower(F.trim(F.coalesce(r["role"], F.lit(""))))
-    of = lambda codes, names: F.transform(F.filter(live, lambda r: code(r).isin(*codes) | ((code(r) == "") & said(r).isin(*names))), lambda r: r["name"])
-    return F.struct(F.try_element_at(of(("LEDE",), CHAIR), F.lit(1)).alias("chair"), F.try_element_at(of(("DAGL",), CEO), F.lit(1)).alias("ceo"), F.array_sort(F.array_distinct(of(("MEDL", "NEST"), BOARD))).alias("board"))
+    code, said = (lambda r: F.upper(F.coalesce(r["role_code"], F.lit("")))), (lambda r: F.lower(F.trim(F.coalesce(r["role"], F.lit("")))))
+    fits = lambda r, codes, names: code(r).isin(*codes) | ((code(r) == "") & said(r).isin(*names))
+    live = F.transform(F.filter(found, lambda r: ~r["inactive"] & r["name"].isNotNull()), lambda r: F.struct(r["name"].alias("name"), fits(r, ("LEDE",), CHAIR).alias("chair"), fits(r, ("DAGL",), CEO).alias("ceo"), fits(r, ("MEDL", "NEST"), BOARD).alias("board")))
+    of = lambda rows, post: F.transform(F.filter(rows, lambda r: r[post]), lambda r: r["name"])
+    pick = lambda rows: F.struct(F.try_element_at(of(rows, "chair"), F.lit(1)).alias("chair"), F.try_element_at(of(rows, "ceo"), F.lit(1)).alias("ceo"), F.array_sort(F.array_distinct(of(rows, "board"))).alias("board"))
+    # as a variable of a function the parsed roles are made once, not once for every field that is read
+    return F.get(F.transform(F.array(live), pick), F.lit(0))
 
 
 _UNIT = "struct<organisasjonsnummer: string, navn: string, name: string, eierandel: double, andel: double>"

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quern.operators import registry as G
+from quern.operators import records as R, registry as G
 
 
 def steps(df) -> str:
@@ -17,3 +17,11 @@ def test_no_task_sorts_a_stratum(spark):
     assert plan.count("WindowGroupLimit") == 4
     got = sorted((r.turn, r.stratum, r.o) for r in out.collect())
     assert [t for t, _, _ in got] == [1, 2, 3, 4] and [s for _, s, _ in got] in (list("abab"), list("baba")) and len({o for *_, o in got}) == 4
+
+
+def test_roles_are_read_once(spark):
+    body = '{"rollegrupper":[{"type":{"kode":"STYR"},"roller":[{"type":{"kode":"LEDE"},"person":{"navn":{"fornavn":"A","etternavn":"B"}}},{"type":{"kode":"","beskrivelse":" Nestleder "},"enhet":{"navn":"U"}},{"type":{"kode":"DAGL"},"enhet":{"navn":"V"},"avregistrert":true}]}]}'
+    df = spark.createDataFrame([(1, body), (2, None)], "id int, body string").select("id", R.leaders(R.roles(F.col("body"))).alias("l"))
+    df = df.select("id", "l.chair", "l.ceo", F.array_join("l.board", ",").alias("board"))
+    assert steps(df.where("id > 0")).count("from_json") == 1
+    assert sorted(map(tuple, df.collect())) == [(1, "A B", None, "U"), (2, None, None, "")]
