@@ -220,13 +220,16 @@ def directory(responses: DataFrame) -> DataFrame:
 def notices(responses: DataFrame, limit: int = 5) -> DataFrame:
     """Dated rows of a notice table: a day-first date cell and the cell after it, repeats once, the first `limit`."""
     cell = lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, "<[^>]*>", " "), r"\s+", " "))
-    trs = responses.where("status = 200").select("organisation_number", "name", "body", F.posexplode(F.regexp_extract_all("body", F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))).alias("place", "tr"))
-    cells = F.filter(F.transform(F.regexp_extract_all("tr", F.lit(r"(?is)<td[^>]*>(.*?)</td>"), F.lit(1)), cell), lambda x: x != "")
-    at = F.expr("array_position(transform(cells, x -> x rlike '^[0-9]{2}[.][0-9]{2}[.][0-9]{4}$'), true)").cast("int")
-    d = trs.withColumn("cells", cells).withColumn("at", at).where("at > 0 AND at < size(cells)").select("organisation_number", "name", "body", "place", F.element_at("cells", F.col("at")).alias("notice_date"), F.element_at("cells", F.col("at") + 1).alias("description"))
-    d = d.where((F.length("description") >= 3) & ~F.contains(F.lower("description"), F.lit("brreg"))).groupBy("organisation_number", "name", "body", "notice_date", "description").agg(F.min("place").alias("place"))
-    g = d.groupBy("organisation_number", "name", "body").agg(F.slice(F.array_sort(F.collect_list(F.struct("place", "notice_date", "description"))), 1, limit).alias("n"))
-    d = g.select("organisation_number", "name", F.explode("n").alias("n")).select("organisation_number", "name", "n.notice_date", "n.description")
+    cells = lambda tr: F.filter(F.transform(F.regexp_extract_all(tr, F.lit(r"(?is)<td[^>]*>(.*?)</td>"), F.lit(1)), cell), lambda x: x != "")
+    dated = lambda c: F.struct(c.alias("cells"), F.array_position(F.transform(c, lambda x: x.rlike("^[0-9]{2}[.][0-9]{2}[.][0-9]{4}$")), True).cast("int").alias("at"))
+    pair = lambda x: F.struct(F.get(x["cells"], x["at"] - 1).alias("notice_date"), F.get(x["cells"], x["at"]).alias("description"))
+    trs = F.regexp_extract_all("body", F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))
+    pairs = F.transform(F.transform(F.transform(trs, cells), dated), pair)
+    good = F.filter(pairs, lambda p: p["notice_date"].isNotNull() & (F.length(p["description"]) >= 3) & ~F.contains(F.lower(p["description"]), F.lit("brreg")))
+    # all of a page's rows come from its own row; only its digest goes along, so that a page that was given twice counts once
+    n = F.explode(F.slice(F.array_distinct(good), 1, limit)).alias("n")
+    d = responses.where("status = 200").select("organisation_number", "name", F.sha2(F.col("body").cast("binary"), 256).alias("page"), n).distinct()
+    d = d.select("organisation_number", "name", "n.notice_date", "n.description")
     digest = F.sha2(F.concat_ws("|", "organisation_number", "notice_date", "description").cast("binary"), 256)
     iso = F.concat_ws("-", F.substring("notice_date", 7, 4), F.substring("notice_date", 4, 2), F.substring("notice_date", 1, 2))
     return d.select(

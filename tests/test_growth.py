@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quern.operators import records as R, registry as G
+from quern.sources import registers as S
 
 
 def steps(df) -> str:
@@ -25,3 +26,13 @@ def test_roles_are_read_once(spark):
     df = df.select("id", "l.chair", "l.ceo", F.array_join("l.board", ",").alias("board"))
     assert steps(df.where("id > 0")).count("from_json") == 1
     assert sorted(map(tuple, df.collect())) == [(1, "A B", None, "U"), (2, None, None, "")]
+
+
+def test_notices_shuffle_no_page(spark):
+    row = "<tr><td>{}</td><td> </td><td><b>{}</b></td></tr>"
+    body = "<tr><td>no date</td></tr>" + "".join(row.format(*x) for x in [("02.01.2024", "Fusion"), ("02.01.2024", "Fusion"), ("01.01.2024", "ab"), ("03.01.2024", "see Brreg"), ("04.01.2024", "")] + [(f"0{i}.02.2024", "Change") for i in range(1, 7)])
+    rows = spark.createDataFrame([("1", "N", 200, body), ("1", "N", 200, body), ("1", "N", 200, body + " "), ("2", "M", 404, body), ("3", "K", 200, None)], "organisation_number string, name string, status int, body string")
+    out = S.notices(rows)
+    assert not any("hashpartitioning" in x and "body#" in x for x in steps(out).split("\n"))
+    want = ["2024-01-02", "2024-02-01", "2024-02-02", "2024-02-03", "2024-02-04"]
+    assert sorted((r.organisation_number, r.published_at) for r in out.collect()) == sorted(("1", d) for d in want * 2)
