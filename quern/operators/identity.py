@@ -82,6 +82,8 @@ def website_ladder(rows: DataFrame) -> DataFrame:
             rows = rows.withColumn(c, F.lit(""))
     if "trademarks" not in given:
         rows = rows.withColumn("trademarks", F.array().cast("array<string>"))
+    # a rule's row costs far more time than its bytes suggest: files are too few tasks
+    rows = rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism * 4, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     site = F.regexp_replace(host(F.col("url")), r"^www\.", "")
     home = F.concat_ws(" ", "title", "description", "identity_text", site)
     page = F.concat_ws(" ", home, "text")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quern.operators import records as R, registry as G
+from quern.operators import identity as I, records as R, registry as G
 from quern.sources import registers as S
 
 
@@ -36,3 +36,8 @@ def test_notices_shuffle_no_page(spark):
     assert not any("hashpartitioning" in x and "body#" in x for x in steps(out).split("\n"))
     want = ["2024-01-02", "2024-02-01", "2024-02-02", "2024-02-03", "2024-02-04"]
     assert sorted((r.organisation_number, r.published_at) for r in out.collect()) == sorted(("1", d) for d in want * 2)
+
+
+def test_ladder_has_tasks_enough(spark):
+    rows = spark.createDataFrame([("Fjell AS", "912345678", "https://x.no", "Hjem", "", "")], "name string, organisation_number string, url string, title string, text string, declared_host string").coalesce(1)
+    assert I.website_ladder(rows).rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
