@@ -3,6 +3,7 @@
 import random
 import string
 
+import numpy as np
 import pytest
 
 from quern.llm import decontaminate, mixing, paragraphs, personal, quality, scoring, secrets, setjoin, suffixes, warc
@@ -337,6 +338,26 @@ def test_personal_method_finds_other_forms(spark):
     assert found >= 0.9 * len(planted) and wrong <= 2, (found, wrong)
 
 
+def test_personal_learns_from_all_spans(spark):
+    docs = spark.range(6000).selectExpr("id AS doc_id", "concat('mail user', id, '@host', id % 50, '.com now') AS text")
+    found = docs.select("doc_id", "text").mapInArrow(personal._scan, personal.SCAN)
+    cases = personal.examples(found).cache()
+    assert cases.where("y = 1").count() == 6000  # one form of each span
+    model, limits = personal.fit(cases)
+    again, same = personal.fit(cases.repartition(7))
+    assert model.trees == again.trees and limits == same and limits[0] <= 1
+
+
+def test_spread_trees_equal_whole_ones(spark):
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 60, (900, 4)).astype(float)
+    y = ((x[:, 0] > 30) ^ (x[:, 2] < 12) ^ (rng.random(900) < 0.05)).astype(float)
+    parts = spark.sparkContext.parallelize([(x[i::5], y[i::5]) for i in range(5)], 5)
+    whole, spread = BoostedTrees(rounds=6).fit(x, y), BoostedTrees(rounds=6).fit_spread(parts)
+    assert all(np.allclose(a, b) for a, b in zip(whole.edges, spread.edges, strict=True))
+    assert np.allclose(whole.predict(x), spread.predict(x), atol=1e-4)
+
+
 def test_boosted_trees_hold_out():
     import numpy as np
 
