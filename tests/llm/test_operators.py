@@ -348,6 +348,21 @@ def test_personal_learns_from_all_spans(spark):
     assert model.trees == again.trees and limits == same and limits[0] <= 1
 
 
+def test_personal_learns_in_tasks_by_cases(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('mail user', id, '@host', id % 50, '.com now') AS text")
+    cases = personal.examples(docs.mapInArrow(personal._scan, personal.SCAN)).repartition(60).cache()
+    group, jobs = "personal-fit", spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        model, limits = personal.fit(cases)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    stages = [jobs.getStageInfo(s) for j in jobs.getJobIdsForGroup(group) for s in jobs.getJobInfo(j).stageIds]
+    wide = [s for s in stages if s and s.numCompletedTasks > 8]
+    assert len(model.trees) == 40 and limits[0] <= 1 and len(stages) > 40 > len(wide)  # not all levels of all trees in all partitions
+    assert personal.fit(cases.repartition(3))[0].trees == model.trees
+
+
 def test_spread_trees_equal_whole_ones(spark):
     rng = np.random.default_rng(4)
     x = rng.integers(0, 60, (900, 4)).astype(float)
