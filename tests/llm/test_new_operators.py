@@ -80,6 +80,19 @@ def test_reassembly_of_no_turns(spark):
     assert conversations.replay(spark.createDataFrame([], "conv_id long, turn long, role string, text string"), batches=2).count() == 0
 
 
+def test_stores_share_their_memory(spark, monkeypatch):
+    held, start, name = [], conversations.reassemble, "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
+
+    def seen(*a, **k):
+        held.append(spark.conf.get(name, None))
+        return start(*a, **k)
+
+    monkeypatch.setattr(conversations, "reassemble", seen)
+    out = conversations.replay(spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "user", "b")], "conv_id long, turn long, role string, text string"), batches=1)
+    assert held == ["true"] * 2 and spark.conf.get(name, None) is None
+    assert sorted((r.event, r.turn, r.batch) for r in out.collect()) == [("close", -1, 1), ("release", 0, 0), ("release", 1, 0)]
+
+
 def neighbours_of(rows, k=10):
     """{query: [(id, distance)]} by brute force; rows (id, vector), queries ids divisible by 100."""
     ok = lambda v: v and all(x is not None and math.isfinite(x) for x in v) and any(v)
