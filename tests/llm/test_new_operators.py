@@ -93,6 +93,15 @@ def test_stores_share_their_memory(spark, monkeypatch):
     assert sorted((r.event, r.turn, r.batch) for r in out.collect()) == [("close", -1, 1), ("release", 0, 0), ("release", 1, 0)]
 
 
+def test_a_start_opens_one_store_a_partition(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(conversations, "scratch", lambda spark: str(tmp_path))
+    df = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 1, "user", "a"), (2, 4, "user", "c")], "conv_id long, turn long, role string, text string")
+    out = conversations.digests(conversations.replay(df, batches=1)).select("event", "conv_id", "turn", "batch", "sha256", "n_missing", "n_breaks").collect()
+    released = [("release", c, t, 0, sha(f"user|{x}"), None, None) for c, t, x in ((1, 0, "a"), (1, 1, "a"), (2, 4, "c"))]
+    assert sorted(tuple(r) for r in out) == [("close", 1, -1, 1, sha(""), 0, 1), ("close", 2, -1, 1, sha(""), 0, 0), *released]
+    assert [x.name for x in (tmp_path / "state" / "state").iterdir() if x.name.isdigit()] == ["0"]
+
+
 def neighbours_of(rows, k=10):
     """{query: [(id, distance)]} by brute force; rows (id, vector), queries ids divisible by 100."""
     ok = lambda v: v and all(x is not None and math.isfinite(x) for x in v) and any(v)
