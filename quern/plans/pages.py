@@ -15,16 +15,13 @@ CODES = "CASE WHEN page_id % 11 = 3 THEN 404 WHEN page_id % 13 = 5 THEN 503 ELSE
 
 
 @query("page_events", f"""SELECT page_id, url, CASE WHEN page_id % 11 = 3 THEN 'not_found' WHEN page_id % 13 = 5 OR page_id % 17 = 9 THEN 'source_error' ELSE 'available' END AS status,
- substr({PLAIN.format("regexp_extract(h, '<title>(.*?)</title>', 1)")}, 1, 500) AS title, '' AS description,
- md5({PLAIN.format("regexp_extract(h, '(?s)<article>(.*)</article>', 1)")}) AS main_md5, substr({PLAIN.format("regexp_extract(h, '(?s)<footer>(.*)</footer>', 1)")}, 1, 3000) AS identity_text,
+ {PLAIN.format("regexp_extract(h, '<title>(.*?)</title>', 1)")} AS title, '' AS description,
+ md5({PLAIN.format("regexp_extract(h, '(?s)<article>(.*)</article>', 1)")}) AS main_md5, {PLAIN.format("regexp_extract(h, '(?s)<footer>(.*)</footer>', 1)")} AS identity_text,
  CASE WHEN page_id % 11 <> 3 AND page_id % 13 <> 5 AND page_id % 17 <> 9 THEN 'static_complete' END AS extraction_state
-FROM (SELECT *, CASE WHEN page_id % 11 = 3 OR page_id % 13 = 5 OR page_id % 17 = 9 THEN '' ELSE html END AS h FROM pages) WHERE length({PLAIN.format("regexp_extract(h, '(?s)<article>(.*)</article>', 1)")}) < 5000""")
+FROM (SELECT *, CASE WHEN page_id % 11 = 3 OR page_id % 13 = 5 OR page_id % 17 = 9 THEN '' ELSE html END AS h FROM pages)""")
 def page_events(spark, d):
     pages = table(spark, d, "pages").select("page_id", "url", "html", F.expr(CODES).alias("status_code"), F.expr("CASE WHEN page_id % 17 = 9 THEN 'application/pdf' ELSE 'text/html; charset=utf-8' END").alias("content_type"))
-    out = G.page_events(pages, "page_id")
-    # excerpts are cut at 5000 characters with their line breaks; whole ones are compared
-    whole = F.length(F.regexp_replace("main_text", r"\s+", " ")) < F.when(F.length("main_text") == 5000, 0).otherwise(5000)
-    return out.where(whole).withColumn("main_md5", F.md5(F.trim(F.regexp_replace("main_text", r"\s+", " ")))).drop("main_text")
+    return G.page_events(pages, "page_id").withColumn("main_md5", F.md5(F.trim(F.regexp_replace("main_text", r"\s+", " ")))).drop("main_text")
 
 
 #: News pages made of the titles of ten pages each, with dates of four kinds; the last has none.
