@@ -338,6 +338,23 @@ def test_personal_method_finds_other_forms(spark):
     assert found >= 0.9 * len(planted) and wrong <= 2, (found, wrong)
 
 
+def test_personal_proposals_overlap_and_have_any_length(spark):
+    found = lambda t: {t[p["s"] : p["e"]] for p in personal.proposals(t, personal.base_spans(t))}
+    assert found("call 12 (555) 123-4567 now") >= {"12 (555) 123-4567", "(555) 123-4567", "123-4567"}
+    assert found("1.2.3.4 555-123-4567") == {"555-123-4567"}  # the run begins with a base span
+    assert found("paid 4981.0215.2537.5367 12/26") >= {"4981.0215.2537.5367", "4981.0215.2537.5367 12/26"}
+    assert found("call 555 1234 at mail.com now") == {"555 1234", "1234 at mail.com"}
+    assert found("john dot s (at) foo [dot] com") == {"john dot s (at) foo [dot] com", "s (at) foo [dot] com"}
+    assert found("a at at b.com") == {"at at b.com"}
+    long = ["x" * 70 + " (at) b.com", " dot ".join("abcdefg") + " at " + " dot ".join("hijklmnop"), "5" + " " * 80 + "(55) 12345", ".".join(["999"] * 40)]
+    assert all(t in found(f"see {t} end") for t in long)
+    rows = [(1, "write to john AT example DOT com"), (2, "y" * 120 + "@b.com"), (3, None)]
+    got = by_id(spark.createDataFrame(rows, "doc_id long, text string").mapInArrow(personal._scan, personal.SCAN))
+    assert [(p.s, p.e) for p in got[1].proposed] == [(9, 32)] and [c.value for c in got[2].cases] == [rows[1][1]]
+    assert personal.chosen([(0.5, 0, 9), (0.9, 3, 6), (0.4, 6, 9), (0.9, 3, 5)]) == [(3, 6), (6, 9)]
+    assert personal.rewritten("ip", "0" * 5000 + "1.2.3.4", 1)[0] == ("2001:db8:0102:0304:7:2c", 1)
+
+
 def test_personal_learns_from_all_spans(spark):
     docs = spark.range(6000).selectExpr("id AS doc_id", "concat('mail user', id, '@host', id % 50, '.com now') AS text")
     found = docs.select("doc_id", "text").mapInArrow(personal._scan, personal.SCAN)
