@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quern.llm import conversations, lexical, neighbours
 
@@ -93,6 +94,24 @@ def test_stores_share_their_memory(spark, monkeypatch):
     assert sorted((r.event, r.turn, r.batch) for r in out.collect()) == [("close", -1, 1), ("release", 0, 0), ("release", 1, 0)]
 
 
+@pytest.mark.parametrize("held", [1000, 3])
+def test_the_stream_finds_each_turns_smallest_payload(spark, monkeypatch, held):
+    """Repeats of a turn in a batch reach the operator, in any order, for open and for closed conversations."""
+    monkeypatch.setattr(conversations, "HELD", held, raising=False)
+    rows, deal = turns(25, seed=8), conversations.dealt
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+    def repeated(table, batches):
+        out = deal(table, batches)
+        return out.unionByName(out.withColumn("text", F.concat(F.lit("~ larger"), "text")).withColumn("role", F.lit("~"))).unionByName(out)
+
+    monkeypatch.setattr(conversations, "dealt", repeated)
+    key = lambda x: tuple(str(v) for v in x)
+    want = events(rows)
+    assert sorted((tuple(x) for x in conversations.digests(conversations.replay(df)).collect()), key=key) == sorted(want, key=key)
+    assert {x[0] for x in want} == {"release", "reject", "close"}
+
+
 def test_a_start_opens_one_store_a_partition(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(conversations, "scratch", lambda spark: str(tmp_path))
     df = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 1, "user", "a"), (2, 4, "user", "c")], "conv_id long, turn long, role string, text string")
